@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from sitescore.functions import measures
 from sitescore.operators.columns import NullPolicy, numeric_columns
+from sitescore.operators.sampling import SEED
 from sitescore.session import cut_lineage
 
-# Seed, chosen forest and the searched grid.
-SEED = 42
+# Chosen forest and the searched grid.
 FINAL_PARAMS = {"n_estimators": 51, "max_depth": 3}
 GRID = {
     "n_estimators": list(range(10, 50)),

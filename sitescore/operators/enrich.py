@@ -38,10 +38,11 @@ class FeatureSource:
         return [c for c in self.clean().columns if c not in skip]
 
     def keyed(self, columns: Sequence[str] | None = None) -> DataFrame:
-        """(left key name, columns), ready for a join on the left key name."""
-        wanted = self.features() if columns is None else list(columns)
+        """(left key name, columns or all), ready for a join on the left key name."""
         left_key, right_key = self.on
-        return self.clean().select(F.col(right_key).alias(left_key), *wanted)
+        rows = self.clean()
+        wanted = [c for c in rows.columns if c != right_key] if columns is None else list(columns)
+        return rows.select(F.col(right_key).alias(left_key), *wanted)
 
     def unique(self, columns: Sequence[str] | None = None) -> DataFrame:
         """``keyed`` rows, failing the query if a key occurs twice.

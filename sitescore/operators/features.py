@@ -13,6 +13,8 @@ from sitescore.operators.balance import balanced_join
 from sitescore.operators.columns import one_row_per_key
 from sitescore.operators.enrich import FeatureSource, address_profile
 
+POI_MEASURES = ("employee_here", "employee_count", "sales_volume_usd")
+
 
 def feature_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
     """Columns that are no keys, in order; reads the schema only."""
@@ -47,7 +49,7 @@ def feature_lineage(sources: Sequence[FeatureSource]) -> DataFrame:
     parts = []
     for source in sources:
         names = source.features()
-        counted = source.keyed().agg(*[F.count(c).alias(c) for c in names])
+        counted = source.keyed(names).agg(*[F.count(c).alias(c) for c in names])
         cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("non_null")) for c in names])
         parts.append(counted.select(F.inline(cells)).select("feature", F.lit(source.name).alias("source"), "non_null"))
     lineage = parts[0]
@@ -132,13 +134,11 @@ def poi_profile(poi: DataFrame, brand: str, group: str, brand_column: str = "bra
         F.sum(copies).alias("n_all"),
         F.sum(F.when(related, copies).otherwise(F.lit(0))).alias("n_related"),
         F.sum(F.when(F.col(brand_column) == brand, 1).otherwise(0)).alias("n_brand"),
-        *added("employee_here"),
-        *added("employee_count"),
-        *added("sales_volume_usd"),
+        *[c for measure in POI_MEASURES for c in added(measure)],
     )
 
 
-def business(
+def business_totals(
     bridge: DataFrame,
     fabric: DataFrame,
     poi: DataFrame,
@@ -147,33 +147,51 @@ def business(
     prop_type: str = "B",
     distinct_bridge: bool = False,
 ) -> DataFrame:
-    """Business features of every site that has at least one related point.
+    """Sums and counts over the business points around each site.
 
     Counts are counts of joined rows: an address listed twice in the bridge
-    counts twice unless ``distinct_bridge``. NULL averages become 0.
+    counts twice unless ``distinct_bridge``.
     """
     shops = fabric.where(F.col("prop_type") == prop_type).select("addr_id")
     profile = shops.join(poi_profile(poi, brand, group), on="addr_id").groupBy("addr_id")
-    sums = ["n_all", "n_related", "n_brand"] + [
-        f"{p}_{c}" for c in ("employee_here", "employee_count", "sales_volume_usd") for p in ("sum", "n")
-    ]
+    sums = ["n_all", "n_related", "n_brand"] + [f"{p}_{c}" for c in POI_MEASURES for p in ("sum", "n")]
     profile = profile.agg(*[F.sum(c).alias(c) for c in sums])
-    rows = balanced_join(
-        bridge.select("site_id", "addr_id"), profile, "addr_id", right_unique=True, distinct_left=distinct_bridge
-    )
-    total = rows.where(F.col("site_id").isNotNull()).groupBy("site_id").agg(*[F.sum(c).alias(c) for c in sums])
-
-    def average(column: str):
-        return F.coalesce(F.try_divide(F.col(f"sum_{column}"), F.col(f"n_{column}")), F.lit(0.0))
-
-    return total.where(F.col("n_related") > 0).select(
-        "site_id",
-        F.col("n_related").alias("related_businesses_count"),
-        average("employee_here").alias("avg_employee_here"),
-        average("employee_count").alias("avg_employee_count"),
-        F.col("n_all").alias("all_businesses_count"),
-        F.col("n_brand").alias("brand_count"),
-        average("sales_volume_usd").alias("avg_sales_volume_usd"),
+    narrow = bridge.select("site_id", "addr_id").where(F.col("site_id").isNotNull())
+    rows = balanced_join(narrow, profile, "addr_id", right_unique=True, distinct_left=distinct_bridge)
+    return rows.groupBy("site_id").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def related_average(measure: str):
+    """Average of a measure over the related points, from ``business_totals``."""
+    return F.try_divide(F.col(f"sum_{measure}"), F.col(f"n_{measure}"))
+
+
+def business(
+    bridge: DataFrame,
+    fabric: DataFrame,
+    poi: DataFrame,
+    brand: str,
+    group: str,
+    prop_type: str = "B",
+    distinct_bridge: bool = False,
+) -> DataFrame:
+    """Business features of every site that has at least one related point.
+
+    All six come from one join and one aggregate; missing averages become 0.
+    """
+    total = business_totals(bridge, fabric, poi, brand, group, prop_type, distinct_bridge)
+    return (
+        total.where(F.col("n_related") > 0)
+        .select(
+            "site_id",
+            F.col("n_related").alias("related_businesses_count"),
+            related_average("employee_here").alias("avg_employee_here"),
+            related_average("employee_count").alias("avg_employee_count"),
+            F.col("n_all").alias("all_businesses_count"),
+            F.col("n_brand").alias("brand_count"),
+            related_average("sales_volume_usd").alias("avg_sales_volume_usd"),
+        )
+        .na.fill(0)
     )
 
 

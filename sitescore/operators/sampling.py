@@ -10,6 +10,9 @@ _MULTIPLIER = 48271
 _PRIME = 2147483647
 _STEPS = 10000
 
+SEED = 42
+TEST_SHARE = 0.3
+
 
 def key_bucket(key: Column, seed: int) -> Column:
     """Number in 0..9999 from an integer key; two rounds, so neighbours part."""
@@ -17,12 +20,12 @@ def key_bucket(key: Column, seed: int) -> Column:
     return F.pmod(F.pmod(once * _MULTIPLIER + seed, F.lit(_PRIME)), F.lit(_STEPS))
 
 
-def sample_sites(df: DataFrame, fraction: float, seed: int = 42, key: str = "site_id") -> DataFrame:
+def sample_sites(df: DataFrame, fraction: float, seed: int = SEED, key: str = "site_id") -> DataFrame:
     """About ``fraction`` of the keys, without replacement."""
     return df.where(key_bucket(F.col(key), seed) < round(fraction * _STEPS))
 
 
-def split(df: DataFrame, test_share: float = 0.3, seed: int = 42, key: str = "site_id") -> tuple[DataFrame, DataFrame]:
+def split(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED, key: str = "site_id") -> tuple[DataFrame, DataFrame]:
     """(train, test) with about ``test_share`` of the keys in test."""
     in_test = key_bucket(F.col(key), seed) < round(test_share * _STEPS)
     return df.where(~in_test), df.where(in_test)

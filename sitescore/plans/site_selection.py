@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from sitescore.ml import models
 from sitescore.operators import features, rank
 from sitescore.operators.enrich import FeatureSource
-from sitescore.operators.sampling import split
+from sitescore.operators.sampling import SEED, TEST_SHARE, split
 from sitescore.session import cut_lineage
 
 
@@ -45,7 +45,7 @@ class SiteFeatures:
         return features.training_matrix(shops, self.residential(narrow))
 
 
-def prepare(matrix: DataFrame, test_share: float = 0.3, seed: int = models.SEED) -> tuple[models.FeatureList, DataFrame, DataFrame]:
+def prepare(matrix: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[models.FeatureList, DataFrame, DataFrame]:
     """(feature list, train vectors, test vectors), written in a steady order."""
     rows = cut_lineage(matrix)
     fixed = models.FeatureList.fit(rows)

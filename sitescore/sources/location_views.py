@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitescore.sources.tables import load
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 VIEWS: dict[str, str] = {
@@ -114,11 +116,16 @@ class LocationTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = load(self.spark, self.folder, name)
+        return self._frames[name]
 
     def __getitem__(self, name: str) -> DataFrame:
-        text = VIEWS[name]
-        used = {t: self.base(t) for t in BASE_TABLES if "{" + t + "}" in text}
-        return self.spark.sql(text, **used)
+        if name not in self._frames:
+            text = VIEWS[name]
+            used = {t: self.base(t) for t in BASE_TABLES if "{" + t + "}" in text}
+            self._frames[name] = self.spark.sql(text, **used)
+        return self._frames[name]
