@@ -14,7 +14,7 @@ from sitescore.ml import models
 from sitescore.operators import columns, enrich, features, geocode, geofence, quality, rank, reach, sampling
 from sitescore.operators.enrich import FeatureSource
 from sitescore.plans import site_selection
-from sitescore.session import scratch_path
+from sitescore.session import cut_lineage, scratch_path
 from sitescore.sources import tables
 from sitescore.sources.location_views import LocationTables
 from sitescore.streaming.incremental import geofence_incremental
@@ -58,6 +58,13 @@ def candidate_sites(t: LocationTables) -> DataFrame:
     return t["sites"].where(F.col("is_candidate"))
 
 
+def bridge(t: LocationTables) -> DataFrame:
+    """The bridge as a written table: every use of it reads it more than once."""
+    if not hasattr(t, "written_bridge"):
+        t.written_bridge = cut_lineage(t["geofence_bridge"])
+    return t.written_bridge
+
+
 def bridge_of(t: LocationTables, sites: DataFrame) -> DataFrame:
     return columns.keep_keys(t["geofence_bridge"], sites, "site_id")
 
@@ -84,7 +91,7 @@ def chosen_columns(t: LocationTables) -> dict[str, list[str]]:
 
 
 def homes(t: LocationTables) -> DataFrame:
-    return enrich.resolve_addresses(t["geofence_bridge"], t["address_fabric"], "R")
+    return enrich.resolve_addresses(bridge(t), t["address_fabric"], "R")
 
 
 def enriched(t: LocationTables, name: str) -> DataFrame:
@@ -99,7 +106,7 @@ def site_features(t: LocationTables) -> site_selection.SiteFeatures:
 
 
 def totals(t: LocationTables) -> DataFrame:
-    return features.business_totals(t["geofence_bridge"], t["address_fabric"], t["poi"], BRAND, GROUP)
+    return features.business_totals(bridge(t), t["address_fabric"], t["poi"], BRAND, GROUP)
 
 
 def routed(t: LocationTables) -> DataFrame:
@@ -265,7 +272,7 @@ def geocoded_only(t):
 
 @query
 def split_property(t):
-    res, bus = enrich.split_property(t["geofence_bridge"], t["address_fabric"])
+    res, bus = enrich.split_property(bridge(t), t["address_fabric"])
     return res.unionByName(bus)
 
 
@@ -348,7 +355,7 @@ def prop_types(t):
 
 @query
 def join_left_property(t):
-    return enrich.with_property_type(t["geofence_bridge"], t["address_fabric"])
+    return enrich.with_property_type(bridge(t), t["address_fabric"])
 
 
 @query
@@ -378,19 +385,19 @@ def join_left_income(t):
 
 @query
 def residential_addresses(t):
-    return enrich.resolve_addresses(t["geofence_bridge"], t["address_fabric"])
+    return enrich.resolve_addresses(bridge(t), t["address_fabric"])
 
 
 @query
 def join_inner_poi(t):
     shops = t["address_fabric"].where(F.col("prop_type") == "B").select("addr_id", "zipcode")
     points = t["poi"].join(shops, on="addr_id")
-    return enrich.balanced_join(t["geofence_bridge"], points, "addr_id")
+    return enrich.balanced_join(bridge(t), points, "addr_id")
 
 
 @query
 def join_inner_labels(t):
-    return features.with_labels(site_features(t).business(t["geofence_bridge"]), t["reviews"])
+    return features.with_labels(site_features(t).business(bridge(t)), t["reviews"])
 
 
 @query
@@ -431,13 +438,13 @@ def geofence_octagon(t):
 
 @query
 def geofence_geojson(t):
-    x, y = F.col("x"), F.col("y")
-    ring = geometry.octagon(x, y, F.lit(RADIUS))[0][0]
-    hole = geometry.octagon(x, y, F.lit(HOLE_RADIUS))[0][0]
-    corners = [(0.04, 0.0), (0.06, 0.0), (0.06, 0.02), (0.04, 0.02), (0.04, 0.0)]
-    square = F.array(*[geometry.point(x + dx, y + dy) for dx, dy in corners])
-    text = geometry.polygon_to_geojson(F.array(F.array(ring, hole), F.array(square)))
-    return geofence.geofence(t["sites"].select("site_id", text.alias("polygon")), t["address_fabric"])
+    """An octagon with a hole, and a square beside it, as MultiPolygon text."""
+    octagon = geometry.octagon_ring("x", "y", f"{RADIUS}D")
+    hole = geometry.octagon_ring("x", "y", f"{HOLE_RADIUS}D")
+    square = geometry.ring("x", "y", [("0.04D", "0D"), ("0.06D", "0D"), ("0.06D", "0.02D"), ("0.04D", "0.02D"), ("0.04D", "0D")])
+    shapes = t["sites"].select("site_id", F.expr(f"array(array({octagon}, {hole}), array({square}))").alias("parts"))
+    text = shapes.select("site_id", geometry.polygon_to_geojson("parts").alias("polygon"))
+    return geofence.geofence(text, t["address_fabric"])
 
 
 # -- aggregations ------------------------------------------------------------
@@ -450,7 +457,7 @@ def locs_in_fence(t):
 
 @query
 def property_counts(t):
-    return enrich.property_counts(enrich.with_property_type(t["geofence_bridge"], t["address_fabric"]))
+    return enrich.property_counts(enrich.with_property_type(bridge(t), t["address_fabric"]))
 
 
 @query
@@ -529,12 +536,12 @@ def avg_sales(t):
 
 @query
 def business_features(t):
-    return site_features(t).business(t["geofence_bridge"])
+    return site_features(t).business(bridge(t))
 
 
 @query
 def residential_features(t):
-    return site_features(t).residential(t["geofence_bridge"])
+    return site_features(t).residential(bridge(t))
 
 
 @query
@@ -601,13 +608,13 @@ def train_test_split(t):
 
 @query
 def combined_score(t):
-    sales = features.local_sales(t["geofence_bridge"], t["address_fabric"], t["poi"])
+    sales = features.local_sales(bridge(t), t["address_fabric"], t["poi"])
     rows = scores(t).join(t["sites"].select("site_id", "price", "size_sqft"), on="site_id", how="left")
     return rank.combined_score(rows.join(sales, on="site_id", how="left"))
 
 
 def _vertices(df: DataFrame) -> DataFrame:
-    corner = df.select("site_id", F.posexplode(geometry.polygon_from_geojson(F.col("polygon"))[0][0]).alias("i", "p"))
+    corner = df.select("site_id", F.posexplode(geometry.polygon_from_geojson("polygon")[0][0]).alias("i", "p"))
     return corner.select("site_id", "i", F.col("p.x").alias("vx"), F.col("p.y").alias("vy"))
 
 
@@ -618,11 +625,12 @@ def geojson_roundtrip(t):
 
 @query
 def point_in_polygon(t):
-    shapes = t["sites"].select("site_id", geometry.polygon_edges(geometry.octagon(F.col("x"), F.col("y"), F.lit(RADIUS))).alias("edges"))
-    pairs = t["geofence_bridge"].distinct()
+    octagons = t["sites"].select("site_id", geometry.octagon("x", "y", f"{RADIUS}D").alias("parts"))
+    shapes = octagons.select("site_id", geometry.polygon_edges("parts").alias("edges"))
+    pairs = bridge(t).distinct()
     placed = enrich.balanced_join(pairs, t["address_fabric"].select("addr_id", "lon", "lat"), "addr_id", right_unique=True)
     rows = enrich.balanced_join(placed, shapes, "site_id", right_unique=True)
-    return rows.select("site_id", "addr_id", geometry.covers(F.col("edges"), F.col("lon"), F.col("lat")).alias("inside"))
+    return rows.select("site_id", "addr_id", geometry.covers("edges", "lon", "lat").alias("inside"))
 
 
 # -- geocoding, boundaries, roads --------------------------------------------
@@ -711,7 +719,7 @@ def assembled_features(t):
 
 @query
 def scaled_features(t):
-    rows = site_features(t).business(t["geofence_bridge"])
+    rows = site_features(t).business(bridge(t))
     train, _ = sampling.split(rows)
     return models.scale_columns(rows, train, columns.numeric_columns(rows.drop("site_id")))
 
@@ -781,7 +789,7 @@ def scored_sites(t):
 
 @query
 def median_local_sales(t):
-    return features.local_sales(bridge_of(t, candidate_sites(t)), t["address_fabric"], t["poi"])
+    return features.local_sales(cut_lineage(bridge_of(t, candidate_sites(t))), t["address_fabric"], t["poi"])
 
 
 @query

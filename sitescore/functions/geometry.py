@@ -4,6 +4,9 @@ A polygon column is ``ARRAY<ARRAY<ARRAY<STRUCT<x,y>>>>``: parts, each a list of
 closed rings (the first is the shell, the others are holes). x is the longitude,
 y the latitude; arithmetic is planar. Boxes over the antimeridian are not
 supported.
+
+Arguments are SQL texts (mostly column names); the expressions are long, and one
+text costs a single call to the JVM.
 """
 
 from __future__ import annotations
@@ -29,81 +32,85 @@ MILES_PER_DEGREE = 69.0
 _ON_EDGE = 1 << 40
 
 
-def point(x: Column, y: Column) -> Column:
-    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+def ring(x: str, y: str, offsets: list[tuple[str, str]]) -> str:
+    """SQL text of a ring from offsets around (x, y)."""
+    points = [f"named_struct('x', CAST({x} + {dx} AS DOUBLE), 'y', CAST({y} + {dy} AS DOUBLE))" for dx, dy in offsets]
+    return f"array({', '.join(points)})"
 
 
-def octagon(x: Column, y: Column, rx: Column, ry: Column | None = None) -> Column:
-    """One-part polygon around (x, y) with half axes rx and ry in degrees."""
+def octagon_ring(x: str, y: str, rx: str, ry: str | None = None) -> str:
     ry = rx if ry is None else ry
-    ring = F.array(*[point(x + F.lit(dx) * rx, y + F.lit(dy) * ry) for dx, dy in OCTAGON])
-    return F.when(x.isNotNull() & y.isNotNull(), F.array(F.array(ring)))
+    return ring(x, y, [(f"({dx!r}D * {rx})", f"({dy!r}D * {ry})") for dx, dy in OCTAGON])
+
+
+def octagon(x: str, y: str, rx: str, ry: str | None = None) -> Column:
+    """One-part polygon around (x, y) with half axes rx and ry in degrees."""
+    return F.expr(f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN array(array({octagon_ring(x, y, rx, ry)})) END")
 
 
-def polygon_from_geojson(text: Column) -> Column:
+def polygon_from_geojson(text: str) -> Column:
     """Polygon or MultiPolygon text (bare or inside a Feature); anything else is NULL."""
-    geometry = F.coalesce(F.get_json_object(text, "$.geometry"), text)
-    kind = F.get_json_object(geometry, "$.type")
-    coordinates = F.get_json_object(geometry, "$.coordinates")
-    single = F.from_json(coordinates, "array<array<array<double>>>")
-    several = F.from_json(coordinates, "array<array<array<array<double>>>>")
-    parts = F.when((kind == "Polygon") & single.isNotNull(), F.array(single)).when(kind == "MultiPolygon", several)
-    return F.transform(
-        parts, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: point(p[0], p[1])))
-    )
-
-
-def polygon_to_geojson(parts: Column) -> Column:
+    geometry = f"coalesce(get_json_object({text}, '$.geometry'), {text})"
+    coordinates = f"get_json_object({geometry}, '$.coordinates')"
+    return F.expr(f"""
+        transform(
+          CASE get_json_object({geometry}, '$.type')
+            WHEN 'Polygon' THEN filter(array(from_json({coordinates}, 'ARRAY<ARRAY<ARRAY<DOUBLE>>>')), part -> part IS NOT NULL)
+            WHEN 'MultiPolygon' THEN from_json({coordinates}, 'ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>')
+          END,
+          part -> transform(part, line -> transform(line, p -> named_struct('x', p[0], 'y', p[1]))))""")
+
+
+def polygon_to_geojson(parts: str) -> Column:
     """GeoJSON text: Polygon for one part, MultiPolygon for several."""
-    numbers = F.transform(
-        parts, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    )
-    single = F.to_json(F.struct(F.lit("Polygon").alias("type"), numbers[0].alias("coordinates")))
-    several = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), numbers.alias("coordinates")))
-    return F.when(F.size(parts) == 1, single).when(F.size(parts) > 1, several)
+    numbers = f"transform({parts}, part -> transform(part, line -> transform(line, p -> array(p.x, p.y))))"
+    return F.expr(f"""
+        CASE WHEN size({parts}) = 1 THEN to_json(named_struct('type', 'Polygon', 'coordinates', {numbers}[0]))
+             WHEN size({parts}) > 1 THEN to_json(named_struct('type', 'MultiPolygon', 'coordinates', {numbers})) END""")
 
 
-def polygon_edges(parts: Column) -> Column:
+def polygon_edges(parts: str) -> Column:
     """Per part, the edges of all its rings as ``STRUCT<ax, ay, bx, by>``."""
+    return F.expr(f"""
+        transform({parts}, part -> flatten(transform(part, line ->
+          zip_with(slice(line, 1, greatest(size(line) - 1, 0)), slice(line, 2, greatest(size(line) - 1, 0)),
+                   (a, b) -> named_struct('ax', a.x, 'ay', a.y, 'bx', b.x, 'by', b.y)))))""")
 
-    def ring_edges(ring: Column) -> Column:
-        starts = F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
-        ends = F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0)))
-        return F.zip_with(
-            starts,
-            ends,
-            lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")),
-        )
 
-    return F.transform(parts, lambda part: F.flatten(F.transform(part, ring_edges)))
+def polygon_box(parts: str) -> dict[str, Column]:
+    points = f"flatten(flatten({parts}))"
+    return {f"{f}_{c}": F.expr(f"array_{f}(transform({points}, p -> p.{c}))") for c in ("x", "y") for f in ("min", "max")}
 
 
-def polygon_box(parts: Column) -> dict[str, Column]:
-    points = F.flatten(F.flatten(parts))
-    xs = F.transform(points, lambda p: p["x"])
-    ys = F.transform(points, lambda p: p["y"])
-    return {"min_x": F.array_min(xs), "max_x": F.array_max(xs), "min_y": F.array_min(ys), "max_y": F.array_max(ys)}
+def _side(x: str, y: str) -> str:
+    """Positive if (x, y) is left of edge ``e``, 0 on its line."""
+    return f"((e.bx - e.ax) * ({y} - e.ay) - (e.by - e.ay) * ({x} - e.ax))"
 
 
-def covers(edges: Column, x: Column, y: Column) -> Column:
+def covers(edges: str, x: str, y: str) -> Column:
     """Whether any part holds the point: even-odd over its edges, boundary included."""
-
-    def step(total: Column, e: Column) -> Column:
-        cross = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-        on_edge = (
-            y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
-            & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"]))
-            & (cross == 0)
-        )
-        crossing = ((e["ay"] <= y) & (y < e["by"]) & (cross > 0)) | ((e["by"] <= y) & (y < e["ay"]) & (cross < 0))
-        return total + F.when(on_edge, F.lit(_ON_EDGE)).when(crossing, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-
-    def inside(part: Column) -> Column:
-        score = F.aggregate(part, F.lit(0).cast("bigint"), step)
-        return (score >= _ON_EDGE) | (score % 2 == 1)
-
-    return F.exists(edges, inside)
-
-
-def contains(parts: Column, x: Column, y: Column) -> Column:
-    return covers(polygon_edges(parts), x, y)
+    side = _side(x, y)
+    return F.expr(f"""
+        exists({edges}, part -> aggregate(part, 0L, (score, e) -> score + CASE
+            WHEN {y} BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by)
+             AND {x} BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx) AND {side} = 0 THEN {_ON_EDGE}L
+            WHEN (e.ay <= {y} AND {y} < e.by AND {side} > 0) OR (e.by <= {y} AND {y} < e.ay AND {side} < 0) THEN 1L
+            ELSE 0L END,
+          score -> score >= {_ON_EDGE}L OR score % 2 = 1))""")
+
+
+def edges_for(edges: str, x0: str, y0: str, y1: str) -> Column:
+    """The edges that can decide about points with x >= x0 and y0 <= y <= y1."""
+    return F.expr(f"""
+        transform({edges}, part -> filter(part, e ->
+          least(e.ay, e.by) <= {y1} AND greatest(e.ay, e.by) >= {y0} AND greatest(e.ax, e.bx) >= {x0}))""")
+
+
+def touches(edges: str, x0: str, x1: str, y0: str, y1: str) -> Column:
+    """Whether any edge meets the rectangle."""
+    corners = ", ".join(_side(x, y) for x in (x0, x1) for y in (y0, y1))
+    return F.expr(f"""
+        exists({edges}, part -> exists(part, e ->
+          least(e.ax, e.bx) <= {x1} AND greatest(e.ax, e.bx) >= {x0}
+          AND least(e.ay, e.by) <= {y1} AND greatest(e.ay, e.by) >= {y0}
+          AND least({corners}) <= 0 AND greatest({corners}) >= 0))""")

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
+from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -43,25 +44,26 @@ class FeatureList:
 
     @classmethod
     def fit(cls, df: DataFrame, nulls: NullPolicy = NullPolicy(), label: str = "stars", key: str = "site_id", ignore: Sequence[str] = ("review_count",)) -> FeatureList:
-        fitted = nulls.fit(df)
         skip = {label, key, *ignore}
+        fitted = nulls.fit(df.drop(*skip))
         return cls(tuple(c for c in numeric_columns(fitted.apply(df)) if c not in skip), fitted, label, key)
 
     def assemble(self, df: DataFrame) -> DataFrame:
         """(key, label if there is one, features)."""
         has_label = [self.label] if self.label in df.columns else []
-        filled = self.nulls.apply(df.select(self.key, *has_label, *self.columns))
+        filled = self.nulls.apply(df.select(self.key, *has_label, *self.columns), keys=[self.key])
         vectors = VectorAssembler(inputCols=list(self.columns), outputCol="features").transform(filled)
         return vectors.select(self.key, *[F.col(c).cast("double") for c in has_label], "features")
 
 
-def steady(df: DataFrame, key: str = "site_id") -> DataFrame:
-    """Written rows in an order that depends on the key only.
+def steady(df: DataFrame, key: str = "site_id", rows_per_task: int = 10_000) -> DataFrame:
+    """Written rows in an order that depends on the keys and their number only.
 
     Bagging draws by partition and row, so a fixed seed repeats itself only on a
-    fixed layout. Also saves the fits from computing the features again.
+    fixed layout. Also saves the fits from computing the features again; a fit
+    is many short jobs, so small sets get few tasks.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, ceil(df.count() / rows_per_task))
     return cut_lineage(df.repartition(partitions, key).sortWithinPartitions(key))
 
 

@@ -83,5 +83,8 @@ class NullPolicy:
         counts = null_counts(df)
         return NullPolicy(self.kind, tuple(c for c in df.columns if counts[c] > 0))
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        return df.na.fill(0) if self.kind == "zero" else df.drop(*self.dropped)
+    def apply(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+        """``keys`` are left as they are, which also keeps their partitioning."""
+        if self.kind == "zero":
+            return df.na.fill(0, subset=[c for c in numeric_columns(df) if c not in keys])
+        return df.drop(*[c for c in self.dropped if c not in keys])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitescore.functions.measures import STATISTICS
 from sitescore.operators.balance import balanced_join
-from sitescore.operators.columns import one_row_per_key
+from sitescore.operators.columns import NullPolicy, one_row_per_key
 from sitescore.operators.enrich import FeatureSource, address_profile
 
 POI_MEASURES = ("employee_here", "employee_count", "sales_volume_usd")
@@ -180,19 +180,16 @@ def business(
     All six come from one join and one aggregate; missing averages become 0.
     """
     total = business_totals(bridge, fabric, poi, brand, group, prop_type, distinct_bridge)
-    return (
-        total.where(F.col("n_related") > 0)
-        .select(
-            "site_id",
-            F.col("n_related").alias("related_businesses_count"),
-            related_average("employee_here").alias("avg_employee_here"),
-            related_average("employee_count").alias("avg_employee_count"),
-            F.col("n_all").alias("all_businesses_count"),
-            F.col("n_brand").alias("brand_count"),
-            related_average("sales_volume_usd").alias("avg_sales_volume_usd"),
-        )
-        .na.fill(0)
+    named = total.where(F.col("n_related") > 0).select(
+        "site_id",
+        F.col("n_related").alias("related_businesses_count"),
+        related_average("employee_here").alias("avg_employee_here"),
+        related_average("employee_count").alias("avg_employee_count"),
+        F.col("n_all").alias("all_businesses_count"),
+        F.col("n_brand").alias("brand_count"),
+        related_average("sales_volume_usd").alias("avg_sales_volume_usd"),
     )
+    return NullPolicy("zero").apply(named, keys=["site_id"])
 
 
 def with_labels(features: DataFrame, labels: DataFrame, columns: Sequence[str] = ("review_count", "stars"), key: str = "site_id") -> DataFrame:

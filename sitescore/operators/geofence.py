@@ -11,7 +11,8 @@ from sitescore.functions import geometry
 from sitescore.operators.balance import MIN_WORK, balanced_join
 from sitescore.session import cut_lineage
 
-CELLS_PER_SIDE = 4
+CELLS_PER_SIDE = 8
+CELL = ("__level", "__cx", "__cy")
 
 
 def travel_boundary(
@@ -30,46 +31,56 @@ def travel_boundary(
     GeoJSON text, or the nested form with ``text=False``. Coordinates that are
     not numbers give a NULL polygon.
     """
-    px, py = F.col(x).try_cast("double"), F.col(y).try_cast("double")
     if radius is None:
         degrees = mph * minutes / 60.0 / geometry.MILES_PER_DEGREE
-        rx, ry = F.lit(degrees) / F.cos(F.radians(py)), F.lit(degrees)
+        rx, ry = f"({degrees!r}D / cos(radians(__py)))", f"{degrees!r}D"
     else:
-        rx = ry = F.lit(float(radius))
-    shape = geometry.octagon(px, py, rx, ry)
-    return df.withColumn(polygon, geometry.polygon_to_geojson(shape) if text else shape)
+        rx = ry = f"{float(radius)!r}D"
+    placed = df.withColumns({"__px": F.col(x).try_cast("double"), "__py": F.col(y).try_cast("double")})
+    shaped = placed.withColumn(polygon, geometry.octagon("__px", "__py", rx, ry)).drop("__px", "__py")
+    return shaped.withColumn(polygon, geometry.polygon_to_geojson(polygon)) if text else shaped
 
 
-def _cell_edge(level: Column) -> Column:
-    """Cell side of a level; a power of two, so dividing by it is exact."""
-    return F.pow(F.lit(2.0), level) / CELLS_PER_SIDE
+# Side of a cell: a power of two by its level, so dividing by it is exact.
+_SIDE = f"(pow(2D, __level) / {CELLS_PER_SIDE})"
 
 
-def _cell(value: Column, level: Column) -> Column:
-    return F.floor(value / _cell_edge(level))
+def _cells(low: str, high: str) -> Column:
+    return F.expr(f"sequence(floor({low} / {_SIDE}), floor({high} / {_SIDE}))")
 
 
 def polygon_cells(sites: DataFrame, keep: Sequence[str], polygon: str) -> DataFrame:
-    """One row per polygon and grid cell its box touches.
+    """One row (keep, edges, level, cell) per polygon and grid cell it shares points with.
 
-    The level follows the size of the box, so a polygon of any size covers at
-    most (CELLS_PER_SIDE + 2) squared cells of its own level.
+    The level follows the size of the polygon's box, so a polygon of any size
+    covers at most (CELLS_PER_SIDE + 2) squared cells of its own level. A cell
+    the outline passes carries the edges that matter inside it; a cell wholly
+    inside carries NULL, and one wholly outside is left out.
     """
     is_text = dict(sites.dtypes)[polygon] == "string"
-    shape = geometry.polygon_from_geojson(F.col(polygon)) if is_text else F.col(polygon)
-    # Exploding one-element arrays keeps the optimizer from inlining the shape
+    shape = geometry.polygon_from_geojson(polygon) if is_text else F.col(polygon)
+    # Exploding one-element arrays keeps the optimizer from inlining a value
     # into every place that uses it.
     shaped = sites.where(F.col(polygon).isNotNull()).select(*keep, F.explode(F.array(shape)).alias("__shape"))
-    parts = F.col("__shape")
-    box = [column.alias(f"__{name}") for name, column in geometry.polygon_box(parts).items()]
-    described = F.struct(geometry.polygon_edges(parts).alias("__edges"), *box)
-    boxed = shaped.select(*keep, F.inline(F.array(described))).where(F.col("__min_x").isNotNull())
-    size = F.greatest(F.col("__max_x") - F.col("__min_x"), F.col("__max_y") - F.col("__min_y"), F.lit(1e-9))
-    levelled = boxed.withColumn("__level", F.ceil(F.log2(size)).cast("int"))
-    level = F.col("__level")
-    across = F.sequence(_cell(F.col("__min_x"), level), _cell(F.col("__max_x"), level))
-    upward = F.sequence(_cell(F.col("__min_y"), level), _cell(F.col("__max_y"), level))
-    return levelled.withColumn("__cx", F.explode(across)).withColumn("__cy", F.explode(upward))
+    box = [column.alias(f"__{name}") for name, column in geometry.polygon_box("__shape").items()]
+    described = F.struct(geometry.polygon_edges("__shape").alias("__edges"), *box)
+    level = F.expr("CAST(ceil(log2(greatest(__max_x - __min_x, __max_y - __min_y, 1e-9D))) AS INT)").alias("__level")
+    boxed = shaped.select(*keep, F.inline(F.array(described))).where("__min_x IS NOT NULL").select("*", level)
+    rows = boxed.select(*keep, "__edges", "__level", _cells("__min_x", "__max_x").alias("__xs"), _cells("__min_y", "__max_y").alias("__ys"))
+    cells = rows.select(*keep, "__edges", "__level", F.explode("__xs").alias("__cx"), "__ys")
+    cells = cells.select(*keep, "__edges", "__level", "__cx", F.explode("__ys").alias("__cy"))
+
+    # The rectangle is a little larger than the cell, beyond rounding errors.
+    rectangle = F.expr(f"""
+        array(named_struct('__x0', (__cx - 1e-6D) * {_SIDE}, '__x1', (__cx + 1.000001D) * {_SIDE},
+                           '__y0', (__cy - 1e-6D) * {_SIDE}, '__y1', (__cy + 1.000001D) * {_SIDE}))""")
+    placed = cells.select("*", F.inline(rectangle))
+    near = F.explode(F.array(geometry.edges_for("__edges", "__x0", "__y0", "__y1"))).alias("__near")
+    narrowed = placed.select(*keep, *CELL, "__x0", "__x1", "__y0", "__y1", near)
+    passes = F.explode(F.array(geometry.touches("__near", "__x0", "__x1", "__y0", "__y1"))).alias("__outline")
+    inside = geometry.covers("__near", "((__x0 + __x1) / 2)", "((__y0 + __y1) / 2)")
+    kept = narrowed.select("*", passes).where(F.col("__outline") | inside)
+    return kept.select(*keep, F.expr("CASE WHEN __outline THEN __near END").alias("__edges"), *CELL)
 
 
 def geofence(
@@ -89,23 +100,19 @@ def geofence(
     dense cells split; a point has one cell per level and a polygon one level,
     so a hit appears once.
     """
-    # Read three times below; written once so that no boundary is drawn again.
-    cells = cut_lineage(polygon_cells(sites, keep, polygon))
+    # Sites are few and small but cost much each, so they are spread over all
+    # cores. The cells are read three times below and written once.
+    tasks = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = sites.select(*keep, polygon).repartition(tasks, *keep)
+    cells = cut_lineage(polygon_cells(spread, keep, polygon))
     # Powers of two between the smallest and the largest box: a handful of numbers.
     levels = [row[0] for row in cells.select("__level").distinct().collect()]
-    points = (
-        addresses.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .select(*carry, F.col(x).alias("__x"), F.col(y).alias("__y"))
-        .withColumn("__level", F.explode(F.lit(levels).cast("array<int>")))
+    points = addresses.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        *carry, F.col(x).alias("__x"), F.col(y).alias("__y"), F.explode(F.lit(levels).cast("array<int>")).alias("__level")
     )
-    level = F.col("__level")
-    points = points.withColumn("__cx", _cell(F.col("__x"), level)).withColumn("__cy", _cell(F.col("__y"), level))
-    candidates = balanced_join(
-        cells, points, ["__level", "__cx", "__cy"], min_work=min_work, left_by=list(keep), right_by=list(carry)
-    )
-    px, py = F.col("__x"), F.col("__y")
-    in_box = px.between(F.col("__min_x"), F.col("__max_x")) & py.between(F.col("__min_y"), F.col("__max_y"))
-    return candidates.where(in_box & geometry.covers(F.col("__edges"), px, py)).select(*keep, *carry)
+    points = points.select("*", *[F.expr(f"floor(__{c} / {_SIDE})").alias(f"__c{c}") for c in ("x", "y")])
+    candidates = balanced_join(cells, points, CELL, min_work=min_work, left_by=list(keep), right_by=list(carry))
+    return candidates.where(F.col("__edges").isNull() | geometry.covers("__edges", "__x", "__y")).select(*keep, *carry)
 
 
 def fence_sizes(bridge: DataFrame, key: str = "site_id") -> DataFrame:

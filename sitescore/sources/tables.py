@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,23 +91,29 @@ def run_in_batches(
     steps: dict[str, Callable[[DataFrame], DataFrame]],
     folder: str,
     batch_column: str = "batch_id",
+    parallelism: int = 4,
 ) -> dict[str, str]:
     """Process ``df`` batch by batch and keep every step's result on disk.
 
-    The steps run in order, each on the written output of the one before. A
-    batch directory that is already there is not computed again, so a stopped
-    run goes on where it ended; one that was cut off is overwritten. The batch
-    ids come from the data (a few per run by construction: one job each).
+    The steps of a batch run in order, each on the written output of the one
+    before; up to ``parallelism`` batches run at a time. A batch directory that
+    is already complete is not computed again, so a stopped run goes on where it
+    ended; one that was cut off is overwritten. The batch ids come from the
+    data; there are as many jobs as ids, so choose coarse ones.
     """
     spark = df.sparkSession
-    ids = [row[0] for row in df.select(batch_column).distinct().orderBy(batch_column).toLocalIterator()]
-    for batch in ids:
+
+    def run(batch: object) -> None:
         current = df.where(F.col(batch_column).eqNullSafe(F.lit(batch))).drop(batch_column)
         for name, step in steps.items():
             target = f"{folder}/{name}/{batch_column}={batch}"
             if not _finished(spark, target):
                 step(current).write.mode("overwrite").parquet(target)
             current = spark.read.parquet(target)
+
+    ids = [row[0] for row in df.select(batch_column).distinct().orderBy(batch_column).toLocalIterator()]
+    with ThreadPool(parallelism) as pool:
+        pool.map(inheritable_thread_target(spark)(run), ids)
     return {name: f"{folder}/{name}" for name in steps}
 
 
