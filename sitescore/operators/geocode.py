@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitescore.functions.text import edit_signatures, normalise_address
 from sitescore.operators.balance import balanced_join
+from sitescore.session import spread
 
 MAX_EDITS = 2
 # What the match rests on.
@@ -55,24 +56,22 @@ def geocode(
     answers = questions.join(known, on=keys).select(*keys, *fields, F.lit(EXACT).alias("precision"))
     if fuzzy:
         open_questions = questions.join(known.select(*keys), on=keys, how="left_anti")
-        signed = open_questions.select(
-            F.col("__line").alias("__asked"), "__block", F.explode(edit_signatures(F.col("__block"), F.col("__line"), max_edits)).alias("__sign")
-        )
-        candidates = known.select(
-            F.col("__line").alias("__known"),
-            F.col("__block").alias("__known_block"),
-            *fields,
-            F.explode(edit_signatures(F.col("__block"), F.col("__line"), max_edits)).alias("__sign"),
-        )
+
+        def signed(frame: DataFrame, line: str, *others: str) -> DataFrame:
+            signature = edit_signatures(F.col("__block"), F.col("__line"), max_edits)
+            return spread(frame, *keys).select(F.col("__line").alias(line), "__block", *others, F.explode(signature).alias("__sign"))
+
+        # Many signatures per address: only what the comparison needs goes through the join.
         near = (
-            signed.join(candidates, on="__sign")
-            .where(F.col("__block") == F.col("__known_block"))
+            signed(open_questions, "__asked")
+            .join(signed(known, "__known", "addr_id"), on=["__sign", "__block"])
             .withColumn("__edits", F.levenshtein("__asked", "__known", max_edits))
             .where(F.col("__edits") >= 0)
-            .select(F.col("__asked").alias("__line"), "__block", "__edits", *fields)
+            .select("__asked", "__block", "__edits", "addr_id", "__known")
         )
-        nearest = _best(near, keys, "__edits").drop("__edits")
-        answers = answers.unionByName(nearest.withColumn("precision", F.lit(SPELLING)))
+        nearest = _best(near, ["__asked", "__block"], "__edits").select("__asked", "__block", F.col("__known").alias("__line"))
+        spelled = nearest.join(known, on=keys).select(F.col("__asked").alias("__line"), "__block", *fields, F.lit(SPELLING).alias("precision"))
+        answers = answers.unionByName(spelled)
 
     joined = balanced_join(asked, answers, keys, how="left", right_unique=True).drop(*keys)
     error = F.when(F.col("addr_id").isNull(), F.lit("no match"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitescore.functions import geometry
 from sitescore.operators.balance import MIN_WORK, balanced_join
-from sitescore.session import cut_lineage
+from sitescore.session import cut_lineage, spread
 
 CELLS_PER_SIDE = 8
 CELL = ("__level", "__cx", "__cy")
@@ -100,11 +100,8 @@ def geofence(
     dense cells split; a point has one cell per level and a polygon one level,
     so a hit appears once.
     """
-    # Sites are few and small but cost much each, so they are spread over all
-    # cores. The cells are read three times below and written once.
-    tasks = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = sites.select(*keep, polygon).repartition(tasks, *keep)
-    cells = cut_lineage(polygon_cells(spread, keep, polygon))
+    # The cells are read three times below and written once.
+    cells = cut_lineage(polygon_cells(spread(sites.select(*keep, polygon), *keep), keep, polygon))
     # Powers of two between the smallest and the largest box: a handful of numbers.
     levels = [row[0] for row in cells.select("__level").distinct().collect()]
     points = addresses.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(

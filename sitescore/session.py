@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(cores: str = "*", partitions: int = 16, app: str = "sitescore", **conf: str) -> SparkSession:
@@ -51,3 +52,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and go on from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread rows over all tasks before a step that makes much of each row.
+
+    Adaptive execution sizes tasks by the bytes they read, so it would put all
+    rows of a small input into one task; a fixed number of partitions is kept.
+    The hash makes this a partitioning of its own, so that it is not taken for
+    one the rows already have.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, F.xxhash64(*keys))
