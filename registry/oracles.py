@@ -1,7 +1,8 @@
 """SQL twins of the queries, for DuckDB on the same tables.
 
 Each text starts with the location views it needs as CTEs. Doubles are rounded
-to 6 digits on both sides.
+to 6 digits on both sides, after adding 1e-9: an average that ends in an exact 5
+then rounds the same way whatever order its terms were summed in.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ AUD_ROWS = "aud_rows AS (SELECT h.*, a.code AS ap_code, " + ", ".join(f"a.{c}" f
 BLOCKS = "blocks AS (SELECT site_id, count(*) AS code_cnt FROM (SELECT DISTINCT site_id, code FROM pop_rows) d GROUP BY site_id)"
 
 _SQL_STATS = {
-    "avg": "round(avg({c}), 6)",
-    "stddev": "round(stddev_samp({c}), 6)",
+    "avg": "round(avg({c}) + 1e-9, 6)",
+    "stddev": "round(stddev_samp({c}) + 1e-9, 6)",
     "min": "min({c})",
     "max": "max({c})",
     "median": "quantile_disc({c}, 0.5)",
@@ -109,9 +110,9 @@ FROM shop_points WHERE group_name = 'ECONOMY' GROUP BY site_id),
 everything AS (SELECT site_id, count(addr_id) AS all_businesses_count FROM shop_points GROUP BY site_id),
 branded AS (SELECT site_id, count(addr_id) AS brand_count FROM brand_points GROUP BY site_id),
 shops AS (
-SELECT r.site_id, r.related_businesses_count, round(coalesce(r.avg_employee_here, 0), 6) AS avg_employee_here,
-       round(coalesce(r.avg_employee_count, 0), 6) AS avg_employee_count, coalesce(e.all_businesses_count, 0) AS all_businesses_count,
-       coalesce(b.brand_count, 0) AS brand_count, round(coalesce(r.avg_sales_volume_usd, 0), 6) AS avg_sales_volume_usd
+SELECT r.site_id, r.related_businesses_count, round(coalesce(r.avg_employee_here, 0) + 1e-9, 6) AS avg_employee_here,
+       round(coalesce(r.avg_employee_count, 0) + 1e-9, 6) AS avg_employee_count, coalesce(e.all_businesses_count, 0) AS all_businesses_count,
+       coalesce(b.brand_count, 0) AS brand_count, round(coalesce(r.avg_sales_volume_usd, 0) + 1e-9, 6) AS avg_sales_volume_usd
 FROM related r LEFT JOIN everything e ON r.site_id = e.site_id LEFT JOIN branded b ON r.site_id = b.site_id)"""
 
 
@@ -181,7 +182,7 @@ WHERE a.listing_id NOT IN (SELECT listing_id FROM exact) GROUP BY a.listing_id)"
 
 def _geocode(matches: str) -> str:
     return f"""
-SELECT a.listing_id, m.k.addr_id AS addr_id, round(m.k.lon, 6) AS x, round(m.k.lat, 6) AS y,
+SELECT a.listing_id, m.k.addr_id AS addr_id, round(m.k.lon + 1e-9, 6) AS x, round(m.k.lat + 1e-9, 6) AS y,
        m.k.address_line AS formatted_address, m.precision, CASE WHEN m.listing_id IS NULL THEN 'no match' END AS error
 FROM asked a LEFT JOIN ({matches}) m ON a.listing_id = m.listing_id"""
 
@@ -207,8 +208,8 @@ _MATRIX_NAMES = ["related_businesses_count", "avg_employee_here", "avg_employee_
 
 ORACLES: dict[str, str] = {
     # sources and sinks
-    "scan_sites": sql("sites", "SELECT site_id, name, round(x, 6) AS x, round(y, 6) AS y, price, size_sqft, is_candidate, batch_id FROM sites"),
-    "select_sites": sql("sites", "SELECT site_id, name, round(x, 6) AS x, round(y, 6) AS y, 'USA' AS country FROM sites WHERE name LIKE '%Supplier%' AND site_id IS NOT NULL"),
+    "scan_sites": sql("sites", "SELECT site_id, name, round(x + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y, price, size_sqft, is_candidate, batch_id FROM sites"),
+    "select_sites": sql("sites", "SELECT site_id, name, round(x + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y, 'USA' AS country FROM sites WHERE name LIKE '%Supplier%' AND site_id IS NOT NULL"),
     "csv_roundtrip": sql("listings", "SELECT * FROM listings"),
     "param_grid": sql(
         "sites reviews",
@@ -217,18 +218,18 @@ FROM (SELECT unnest([20, 51]) AS n_estimators), (SELECT unnest([0.25e0, 0.5e0, 0
     ),
     "forest_grid": sql(
         "sites reviews",
-        f"""SELECT CAST(n.i AS BIGINT) AS n_estimators, criterion, TRUE AS bootstrap, round(m.i * 0.1e0, 6) AS max_samples,
+        f"""SELECT CAST(n.i AS BIGINT) AS n_estimators, criterion, TRUE AS bootstrap, round(m.i * 0.1e0 + 1e-9, 6) AS max_samples,
        CAST(floor(m.i * 0.1e0 * {_SAMPLE_N} + 0.5) AS BIGINT) AS sample_rows
 FROM range(10, 50) n(i), (SELECT unnest(['mse', 'mae']) AS criterion), range(1, 10) m(i)""",
     ),
-    "table_roundtrip": sql("sites", "SELECT site_id, name, round(x, 6) AS x, round(y, 6) AS y, price, size_sqft, is_candidate, batch_id FROM sites"),
-    "append_evolving": sql("sites", "SELECT site_id, round(x, 6) AS x, round(y, 6) AS y, CASE WHEN is_candidate THEN price END AS price FROM sites"),
+    "table_roundtrip": sql("sites", "SELECT site_id, name, round(x + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y, price, size_sqft, is_candidate, batch_id FROM sites"),
+    "append_evolving": sql("sites", "SELECT site_id, round(x + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y, CASE WHEN is_candidate THEN price END AS price FROM sites"),
     "view_query": sql("address_fabric", "SELECT zipcode, count(*) AS n_addresses, min(addr_id) AS first_addr FROM address_fabric GROUP BY zipcode"),
     "batched_geofence": sql(FENCE_VIEWS, "SELECT f.site_id, f.addr_id, s.batch_id FROM fence f JOIN sites s ON f.site_id = s.site_id", OCTAGON_CTE, SIDES, FENCE),
     "batch_join": sql("sites geofence_bridge", "SELECT b.site_id, b.addr_id, s.batch_id FROM (SELECT DISTINCT * FROM geofence_bridge) b LEFT JOIN sites s ON b.site_id = s.site_id"),
     "run_log": sql(
         "sites reviews",
-        f"""SELECT run_id, CAST(shift AS VARCHAR) AS shift, round({_RMSE}, 6) AS rmse, round({_MAPE}, 6) AS mape, round({_MAE}, 6) AS mae
+        f"""SELECT run_id, CAST(shift AS VARCHAR) AS shift, round({_RMSE} + 1e-9, 6) AS rmse, round({_MAPE} + 1e-9, 6) AS mape, round({_MAE} + 1e-9, 6) AS mae
 FROM (SELECT r.run_id, r.shift, b.stars, b.prediction + r.shift AS prediction
       FROM baseline b, (SELECT 0 AS run_id, 0e0 AS shift UNION ALL SELECT 1, 0.5e0) r) p GROUP BY run_id, shift""",
         LABELLED,
@@ -243,7 +244,7 @@ FROM (SELECT r.run_id, r.shift, b.stars, b.prediction + r.shift AS prediction
     "constant_country": sql("listings", "SELECT *, 'USA' AS country FROM listings"),
     "source_clean": sql("population", "SELECT * FROM family", _census("family", "fam")),
     "source_drop": sql("audience", f"SELECT code, {', '.join(AUDIENCE_ALL)} FROM audience"),
-    "struct_expand": sql("address_fabric", "SELECT addr_id, round(lon, 6) AS lon, round(lat, 6) AS lat, zipcode FROM address_fabric"),
+    "struct_expand": sql("address_fabric", "SELECT addr_id, round(lon + 1e-9, 6) AS lon, round(lat + 1e-9, 6) AS lat, zipcode FROM address_fabric"),
     "address_map": sql(
         "listings",
         """SELECT listing_id, 'mainAddressLine' AS field, address AS content FROM listings
@@ -253,7 +254,7 @@ UNION ALL SELECT listing_id, 'country', 'USA' FROM listings""",
     "brand_sites": sql("poi", "SELECT * FROM poi WHERE business_line LIKE '%widget%'"),
     "geocoded_only": sql(
         "listings address_fabric",
-        "SELECT listing_id, k.addr_id AS addr_id, round(k.lon, 6) AS x, round(k.lat, 6) AS y FROM exact",
+        "SELECT listing_id, k.addr_id AS addr_id, round(k.lon + 1e-9, 6) AS x, round(k.lat + 1e-9, 6) AS y FROM exact",
         ASKED,
         KNOWN,
         EXACT,
@@ -268,7 +269,7 @@ UNION ALL SELECT listing_id, 'country', 'USA' FROM listings""",
     "dropna_subset": sql("poi", "SELECT * FROM poi WHERE sales_volume_local IS NOT NULL"),
     "fill_zero": sql("poi", "SELECT * REPLACE (coalesce(sales_volume_local, 0) AS sales_volume_local) FROM poi"),
     "drop_null_columns": sql("poi", "SELECT * EXCLUDE (sales_volume_local) FROM poi"),
-    "cast_xy": sql("sites", "SELECT site_id, round(CASE WHEN price < 1000 THEN NULL ELSE x END, 6) AS x, round(y, 6) AS y FROM sites"),
+    "cast_xy": sql("sites", "SELECT site_id, round(CASE WHEN price < 1000 THEN NULL ELSE x END + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y FROM sites"),
     "feature_list": sql(
         "geofence_bridge address_fabric population",
         " UNION ALL ".join(
@@ -340,8 +341,8 @@ UNION ALL """
     "assemble_features": sql(
         "geofence_bridge address_fabric population audience",
         """SELECT p.site_id, p.avg_popby, p.max_popby, a.avg_ap_f1, a.median_ap_f1, b.code_cnt
-FROM (SELECT site_id, round(avg(popby), 6) AS avg_popby, max(popby) AS max_popby FROM pop_rows GROUP BY site_id) p
-LEFT JOIN (SELECT site_id, round(avg(ap_f1), 6) AS avg_ap_f1, quantile_disc(ap_f1, 0.5) AS median_ap_f1 FROM aud_rows GROUP BY site_id) a ON p.site_id = a.site_id
+FROM (SELECT site_id, round(avg(popby) + 1e-9, 6) AS avg_popby, max(popby) AS max_popby FROM pop_rows GROUP BY site_id) p
+LEFT JOIN (SELECT site_id, round(avg(ap_f1) + 1e-9, 6) AS avg_ap_f1, quantile_disc(ap_f1, 0.5) AS median_ap_f1 FROM aud_rows GROUP BY site_id) a ON p.site_id = a.site_id
 LEFT JOIN blocks b ON p.site_id = b.site_id""",
         HOMES,
         POP_ROWS,
@@ -364,7 +365,7 @@ UNION ALL SELECT site_id, 'sites' FROM (SELECT site_id FROM sites EXCEPT SELECT
     "ranked_with_attributes": sql("sites reviews", "SELECT c.site_id, c.stars_score, s.name, s.price, s.size_sqft FROM scores c LEFT JOIN sites s ON c.site_id = s.site_id", SCORES),
     "winners": sql(
         "sites reviews",
-        """SELECT c.site_id, c.stars_score, s.name, round(s.x, 6) AS x, round(s.y, 6) AS y, s.price
+        """SELECT c.site_id, c.stars_score, s.name, round(s.x + 1e-9, 6) AS x, round(s.y + 1e-9, 6) AS y, s.price
 FROM (SELECT * FROM scores ORDER BY stars_score DESC NULLS LAST, site_id LIMIT 3) c JOIN sites s ON c.site_id = s.site_id""",
         SCORES,
     ),
@@ -396,9 +397,9 @@ UNION SELECT s.site_id, f.addr_id FROM sites s JOIN address_fabric f ON f.lon BE
     "related_count": sql(SHOP_VIEWS, "SELECT site_id, related_businesses_count FROM related", SHOPS),
     "all_business_count": sql(SHOP_VIEWS, "SELECT * FROM everything", SHOPS),
     "brand_count": sql(SHOP_VIEWS, "SELECT * FROM branded", SHOPS),
-    "avg_employee_here": sql(SHOP_VIEWS, "SELECT site_id, round(avg_employee_here, 6) AS avg_employee_here FROM related", SHOPS),
-    "avg_employee_count": sql(SHOP_VIEWS, "SELECT site_id, round(avg_employee_count, 6) AS avg_employee_count FROM related", SHOPS),
-    "avg_sales": sql(SHOP_VIEWS, "SELECT site_id, round(avg_sales_volume_usd, 6) AS avg_sales_volume_usd FROM related", SHOPS),
+    "avg_employee_here": sql(SHOP_VIEWS, "SELECT site_id, round(avg_employee_here + 1e-9, 6) AS avg_employee_here FROM related", SHOPS),
+    "avg_employee_count": sql(SHOP_VIEWS, "SELECT site_id, round(avg_employee_count + 1e-9, 6) AS avg_employee_count FROM related", SHOPS),
+    "avg_sales": sql(SHOP_VIEWS, "SELECT site_id, round(avg_sales_volume_usd + 1e-9, 6) AS avg_sales_volume_usd FROM related", SHOPS),
     "business_features": sql(SHOP_VIEWS, "SELECT * FROM shops", SHOPS),
     "residential_features": sql(RES_VIEWS, "SELECT * FROM res", HOMES, *RES_CTES),
     "dedupe_rows": sql("geofence_bridge", "SELECT DISTINCT * FROM geofence_bridge"),
@@ -407,10 +408,10 @@ UNION SELECT s.site_id, f.addr_id FROM sites s JOIN address_fabric f ON f.lon BE
         """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY addr_id ORDER BY brandname NULLS FIRST, group_name NULLS FIRST,
 business_line NULLS FIRST, employee_here NULLS FIRST, employee_count NULLS FIRST, sales_volume_usd NULLS FIRST, sales_volume_local NULLS FIRST) AS rn FROM poi) d WHERE rn = 1""",
     ),
-    "min_max_scale": sql("sites", f"SELECT site_id, price, size_sqft, round({_scaled('price')}, 6) AS adj_price, round({_scaled('size_sqft')}, 6) AS adj_size_sqft FROM sites"),
-    "metric_mape": sql("sites reviews", f"SELECT round({_MAPE}, 6) AS mape FROM baseline", LABELLED, BASELINE),
-    "metric_mae": sql("sites reviews", f"SELECT round({_MAE}, 6) AS mae FROM baseline", LABELLED, BASELINE),
-    "metric_rmse": sql("sites reviews", f"SELECT round({_RMSE}, 6) AS rmse FROM baseline", LABELLED, BASELINE),
+    "min_max_scale": sql("sites", f"SELECT site_id, price, size_sqft, round({_scaled('price')} + 1e-9, 6) AS adj_price, round({_scaled('size_sqft')} + 1e-9, 6) AS adj_size_sqft FROM sites"),
+    "metric_mape": sql("sites reviews", f"SELECT round({_MAPE} + 1e-9, 6) AS mape FROM baseline", LABELLED, BASELINE),
+    "metric_mae": sql("sites reviews", f"SELECT round({_MAE} + 1e-9, 6) AS mae FROM baseline", LABELLED, BASELINE),
+    "metric_rmse": sql("sites reviews", f"SELECT round({_RMSE} + 1e-9, 6) AS rmse FROM baseline", LABELLED, BASELINE),
     # sorts, samples, splits
     "smallest_fences": sql("geofence_bridge", "SELECT site_id, count(*) AS locs_in_fence FROM geofence_bridge GROUP BY site_id ORDER BY locs_in_fence, site_id"),
     "ranked_sites": sql("sites reviews", "SELECT * FROM scores ORDER BY stars_score DESC NULLS LAST, site_id", SCORES),
@@ -420,14 +421,14 @@ business_line NULLS FIRST, employee_here NULLS FIRST, employee_count NULLS FIRST
     # scores and geometry
     "combined_score": sql(
         f"{SHOP_VIEWS} sites reviews",
-        f"""SELECT site_id, round(2e0 * {_scaled('stars_score')} + 1e0 * {_scaled('median_sales_volume_local')} - 2e0 * {_scaled('price')} + 0.5e0 * {_scaled('size_sqft')}, 6) AS score,
+        f"""SELECT site_id, round(2e0 * {_scaled('stars_score')} + 1e0 * {_scaled('median_sales_volume_local')} - 2e0 * {_scaled('price')} + 0.5e0 * {_scaled('size_sqft')} + 1e-9, 6) AS score,
        stars_score, median_sales_volume_local, price, size_sqft
 FROM (SELECT c.site_id, c.stars_score, s.price, s.size_sqft, m.median_sales_volume_local
       FROM scores c LEFT JOIN sites s ON c.site_id = s.site_id LEFT JOIN sales m ON c.site_id = m.site_id) t""",
         SCORES,
         _SALES.format(bridge="geofence_bridge"),
     ),
-    "geojson_roundtrip": sql("sites", "SELECT s.site_id, o.i, round(s.x + o.ux * 0.03e0, 6) AS vx, round(s.y + o.uy * 0.03e0, 6) AS vy FROM sites s CROSS JOIN octagon o", OCTAGON_CTE),
+    "geojson_roundtrip": sql("sites", "SELECT s.site_id, o.i, round(s.x + o.ux * 0.03e0 + 1e-9, 6) AS vx, round(s.y + o.uy * 0.03e0 + 1e-9, 6) AS vy FROM sites s CROSS JOIN octagon o", OCTAGON_CTE),
     "point_in_polygon": sql(
         f"{FENCE_VIEWS} geofence_bridge",
         f"""SELECT b.site_id, b.addr_id, min({_CROSS}) >= 0 AS inside FROM (SELECT DISTINCT * FROM geofence_bridge) b
@@ -440,13 +441,13 @@ JOIN sides s ON b.site_id = s.site_id JOIN address_fabric f ON b.addr_id = f.add
     "geocode_fuzzy": sql("listings address_fabric", _geocode(f"{_EXACT_ROWS} UNION ALL SELECT listing_id, k, 'spelling' FROM near"), ASKED, KNOWN, EXACT, NEAR),
     "travel_boundary": sql(
         "sites",
-        """SELECT s.site_id, o.i, round(s.x + o.ux * (30e0 * 5e0 / 60e0 / 69e0 / cos(radians(s.y))), 6) AS vx, round(s.y + o.uy * (30e0 * 5e0 / 60e0 / 69e0), 6) AS vy
+        """SELECT s.site_id, o.i, round(s.x + o.ux * (30e0 * 5e0 / 60e0 / 69e0 / cos(radians(s.y))) + 1e-9, 6) AS vx, round(s.y + o.uy * (30e0 * 5e0 / 60e0 / 69e0) + 1e-9, 6) AS vy
 FROM sites s CROSS JOIN octagon o""",
         OCTAGON_CTE,
     ),
     "network_reach": sql(
         "sites edges driveways",
-        """SELECT w.source AS site_id, d.addr_id, round(min(w.minutes + d.miles / 2.5e0 * 60e0), 6) AS minutes FROM ways w JOIN driveways d ON w.node = d.node
+        """SELECT w.source AS site_id, d.addr_id, round(min(w.minutes + d.miles / 2.5e0 * 60e0) + 1e-9, 6) AS minutes FROM ways w JOIN driveways d ON w.node = d.node
 WHERE d.miles <= 0.1e0 AND w.minutes + d.miles / 2.5e0 * 60e0 <= 5 GROUP BY w.source, d.addr_id""",
         """ways(source, node, minutes) AS (
 SELECT site_id, site_id * 3, 0e0 FROM sites
@@ -455,7 +456,7 @@ UNION SELECT w.source, e.dst, w.minutes + e.minutes FROM ways w JOIN edges e ON
     ),
     "route_cost": sql(
         "edges geofence_bridge",
-        """SELECT p.from_node, p.to_node, round(c.best.miles, 6) AS distance, round(c.best.minutes, 6) AS minutes
+        """SELECT p.from_node, p.to_node, round(c.best.miles + 1e-9, 6) AS distance, round(c.best.minutes + 1e-9, 6) AS minutes
 FROM (SELECT DISTINCT site_id * 3 AS from_node, addr_id AS to_node FROM geofence_bridge) p
 LEFT JOIN (SELECT source, node, min({'minutes': minutes, 'miles': miles}) AS best FROM ways GROUP BY source, node) c
 ON p.from_node = c.source AND p.to_node = c.node""",
@@ -466,7 +467,7 @@ ON p.from_node = c.source AND p.to_node = c.node""",
     # models
     "scaled_features": sql(
         SHOP_VIEWS,
-        "SELECT s.site_id, " + ", ".join(f"round((s.{c} - t.m_{c}) / nullif(t.d_{c}, 0), 6) AS {c}" for c in _MATRIX_NAMES) + " FROM plain s, t",
+        "SELECT s.site_id, " + ", ".join(f"round((s.{c} - t.m_{c}) / nullif(t.d_{c}, 0) + 1e-9, 6) AS {c}" for c in _MATRIX_NAMES) + " FROM plain s, t",
         SHOPS,
         """plain AS (
 SELECT r.site_id, r.related_businesses_count, coalesce(r.avg_employee_here, 0) AS avg_employee_here, coalesce(r.avg_employee_count, 0) AS avg_employee_count,
@@ -476,7 +477,7 @@ FROM related r LEFT JOIN everything e ON r.site_id = e.site_id LEFT JOIN branded
     ),
     "best_run": sql(
         "sites reviews",
-        f"""SELECT run_id, weight, round({_RMSE}, 6) AS rmse, round({_MAPE}, 6) AS mape, round({_MAE}, 6) AS mae
+        f"""SELECT run_id, weight, round({_RMSE} + 1e-9, 6) AS rmse, round({_MAPE} + 1e-9, 6) AS mape, round({_MAE} + 1e-9, 6) AS mae
 FROM (SELECT r.run_id, r.weight, l.stars, r.weight * b.prediction + (1 - r.weight) * (SELECT avg(stars) FROM labelled) AS prediction
       FROM labelled l JOIN baseline b ON l.site_id = b.site_id, (VALUES (0, 0e0), (1, 0.25e0), (2, 0.5e0), (3, 0.75e0), (4, 1e0)) r(run_id, weight)) p
 GROUP BY run_id, weight ORDER BY round({_MAPE}, 9), run_id LIMIT 1""",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sitescore.functions import geometry, measures
 from sitescore.ml import models
 from sitescore.operators import columns, enrich, features, geocode, geofence, quality, rank, reach, sampling
+from sitescore.operators.balance import FIND, hot_keys
 from sitescore.operators.enrich import FeatureSource
 from sitescore.plans import site_selection
 from sitescore.session import cut_lineage, scratch_path
@@ -33,7 +34,7 @@ BUDGET = 5.0
 
 
 def query(function: Callable[[LocationTables], DataFrame]) -> Callable[[LocationTables], DataFrame]:
-    """Register under the function's name; doubles are rounded to 6 digits."""
+    """Register under the function's name; doubles are rounded as in the SQL twins."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return _rounded(function(LocationTables(spark, folder)))
@@ -44,7 +45,7 @@ def query(function: Callable[[LocationTables], DataFrame]) -> Callable[[Location
 
 def _rounded(df: DataFrame) -> DataFrame:
     doubles = [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({c: F.round(c, 6) for c in doubles})
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in doubles})
 
 
 # -- shared inputs -----------------------------------------------------------
@@ -90,12 +91,21 @@ def chosen_columns(t: LocationTables) -> dict[str, list[str]]:
     return chosen
 
 
+def frequent(t: LocationTables) -> DataFrame | None:
+    """The bridge's hot addresses, found once for all its joins."""
+    if not hasattr(t, "hot_addresses"):
+        t.hot_addresses = hot_keys(bridge(t), None, ["addr_id"])
+    return t.hot_addresses
+
+
 def homes(t: LocationTables) -> DataFrame:
-    return enrich.resolve_addresses(bridge(t), t["address_fabric"], "R")
+    return enrich.resolve_addresses(bridge(t), t["address_fabric"], "R", hot=frequent(t))
 
 
-def enriched(t: LocationTables, name: str) -> DataFrame:
-    return enrich.enrich(homes(t), sources(t)[name])
+def enriched(t: LocationTables, name: str, keep_key_as: str | None = None) -> DataFrame:
+    source = sources(t)[name]
+    hot = frequent(t) if source.on[0] == "addr_id" else FIND
+    return enrich.enrich(homes(t), source, keep_key_as=keep_key_as, hot=hot)
 
 
 def site_features(t: LocationTables) -> site_selection.SiteFeatures:
@@ -164,7 +174,7 @@ def forest_grid(t):
 def table_roundtrip(t):
     name = f"sites_{uuid.uuid4().hex}"
     path = scratch_path(t.spark, "sites-table")
-    tables.write_table(t["sites"].limit(0), name, path)
+    tables.write_table(t["sites"].select("site_id"), name, path)
     return tables.write_table(t["sites"], name, path)
 
 
@@ -370,17 +380,17 @@ def join_left_population(t):
 
 @query
 def join_left_audience(t):
-    return enrich.enrich(homes(t), sources(t)["audience"], keep_key_as="ap_code")
+    return enriched(t, "audience", "ap_code")
 
 
 @query
 def join_left_family(t):
-    return enrich.enrich(homes(t), sources(t)["family"], keep_key_as="family_addr_id")
+    return enriched(t, "family", "family_addr_id")
 
 
 @query
 def join_left_income(t):
-    return enrich.enrich(homes(t), sources(t)["income"], keep_key_as="income_addr_id")
+    return enriched(t, "income", "income_addr_id")
 
 
 @query

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 PIECES = 1024
 MIN_WORK = 4_000_000
 SALT = "__salt"
+FIND = "find"
 
 
 def hot_keys(
@@ -78,6 +79,7 @@ def balanced_join(
     min_work: int = MIN_WORK,
     left_by: Sequence[str] | None = None,
     right_by: Sequence[str] | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Inner or left join on equal keys with hot keys split.
 
@@ -85,13 +87,16 @@ def balanced_join(
     rows need splitting (a left join splits left rows in any case).
     ``distinct_left`` removes duplicate left rows on the join's own
     partitioning, without a shuffle of its own. ``left_by``/``right_by`` name
-    the columns whose hash spreads a side; default all of them.
+    the columns whose hash spreads a side; default all of them. ``hot`` passes
+    on what ``hot_keys`` found before, so that several joins of the same rows
+    count them once; which keys are split never changes the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
     on = [on] if isinstance(on, str) else list(on)
     pairs = how == "inner" and not right_unique
-    hot = hot_keys(left, right if pairs else None, on, min_work)
+    if isinstance(hot, str):
+        hot = hot_keys(left, right if pairs else None, on, min_work)
     keys = on
     if hot is not None:
         keys = [*on, SALT]

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescore.operators.balance import balanced_join
+from sitescore.operators.balance import FIND, balanced_join
 
 
 @dataclass(frozen=True)
@@ -66,6 +66,7 @@ def enrich(
     source: FeatureSource,
     columns: Sequence[str] | None = None,
     keep_key_as: str | None = None,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Left join of a source on its key; ``keep_key_as`` keeps the source's key too.
 
@@ -74,7 +75,7 @@ def enrich(
     right = source.keyed(columns)
     if keep_key_as is not None:
         right = right.withColumn(keep_key_as, F.col(source.on[0]))
-    return balanced_join(df, right, source.on[0], how="left", right_unique=source.one_row_per_key)
+    return balanced_join(df, right, source.on[0], how="left", right_unique=source.one_row_per_key, hot=hot)
 
 
 def with_property_type(bridge: DataFrame, fabric: DataFrame) -> DataFrame:
@@ -96,7 +97,9 @@ def property_counts(typed: DataFrame) -> DataFrame:
     )
 
 
-def resolve_addresses(bridge: DataFrame, fabric: DataFrame, prop_type: str | None = None) -> DataFrame:
+def resolve_addresses(
+    bridge: DataFrame, fabric: DataFrame, prop_type: str | None = None, hot: DataFrame | str | None = FIND
+) -> DataFrame:
     """Distinct (site, property type, address, zip code, block group) rows.
 
     Addresses without property type drop out, so the join is an inner one.
@@ -104,7 +107,7 @@ def resolve_addresses(bridge: DataFrame, fabric: DataFrame, prop_type: str | Non
     known = fabric.select("addr_id", "prop_type", "zipcode", "geoid").distinct()
     known = known.where(F.col("prop_type").isNotNull() if prop_type is None else F.col("prop_type") == prop_type)
     narrow = bridge.select("site_id", "addr_id").where(F.col("site_id").isNotNull())
-    joined = balanced_join(narrow, known, "addr_id", distinct_left=True, right_unique=True)
+    joined = balanced_join(narrow, known, "addr_id", distinct_left=True, right_unique=True, hot=hot)
     return joined.select("site_id", "prop_type", "addr_id", "zipcode", "geoid")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitescore.functions.measures import STATISTICS
-from sitescore.operators.balance import balanced_join
+from sitescore.operators.balance import FIND, balanced_join
 from sitescore.operators.columns import NullPolicy, one_row_per_key
 from sitescore.operators.enrich import FeatureSource, address_profile
 
@@ -85,6 +85,7 @@ def residential(
     code_source: str,
     code: str = "code",
     prop_type: str = "R",
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Statistics of all chosen columns over the distinct residential addresses of a site.
 
@@ -107,7 +108,8 @@ def residential(
             source = group[0]
             left = balanced_join(homes, source.keyed(wanted[source.name]), source.on[0], how="left", left_by=["addr_id"])
             profile = left.select("addr_id", *wanted[source.name])
-        rows = balanced_join(narrow, profile, "addr_id", distinct_left=True, right_unique=group[0].one_row_per_key)
+        unique = group[0].one_row_per_key
+        rows = balanced_join(narrow, profile, "addr_id", distinct_left=True, right_unique=unique, hot=hot if unique else FIND)
         parts.append(proximity_stats(rows, "site_id", [c for s in group for c in columns[s.name]]))
         if any(s.name == code_source for s in group):
             blocks = census_blocks(rows, code=code)
@@ -146,6 +148,7 @@ def business_totals(
     group: str,
     prop_type: str = "B",
     distinct_bridge: bool = False,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Sums and counts over the business points around each site.
 
@@ -157,7 +160,7 @@ def business_totals(
     sums = ["n_all", "n_related", "n_brand"] + [f"{p}_{c}" for c in POI_MEASURES for p in ("sum", "n")]
     profile = profile.agg(*[F.sum(c).alias(c) for c in sums])
     narrow = bridge.select("site_id", "addr_id").where(F.col("site_id").isNotNull())
-    rows = balanced_join(narrow, profile, "addr_id", right_unique=True, distinct_left=distinct_bridge)
+    rows = balanced_join(narrow, profile, "addr_id", right_unique=True, distinct_left=distinct_bridge, hot=hot)
     return rows.groupBy("site_id").agg(*[F.sum(c).alias(c) for c in sums])
 
 
@@ -174,12 +177,13 @@ def business(
     group: str,
     prop_type: str = "B",
     distinct_bridge: bool = False,
+    hot: DataFrame | str | None = FIND,
 ) -> DataFrame:
     """Business features of every site that has at least one related point.
 
     All six come from one join and one aggregate; missing averages become 0.
     """
-    total = business_totals(bridge, fabric, poi, brand, group, prop_type, distinct_bridge)
+    total = business_totals(bridge, fabric, poi, brand, group, prop_type, distinct_bridge, hot)
     named = total.where(F.col("n_related") > 0).select(
         "site_id",
         F.col("n_related").alias("related_businesses_count"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from sitescore.ml import models
 from sitescore.operators import features, rank
+from sitescore.operators.balance import FIND, hot_keys
 from sitescore.operators.enrich import FeatureSource
 from sitescore.operators.sampling import SEED, TEST_SHARE, split
 from sitescore.session import cut_lineage
@@ -27,22 +28,24 @@ class SiteFeatures:
     brand: str
     group: str
 
-    def business(self, bridge: DataFrame) -> DataFrame:
-        return features.business(bridge, self.fabric, self.poi, self.brand, self.group)
+    def business(self, bridge: DataFrame, hot: DataFrame | str | None = FIND) -> DataFrame:
+        return features.business(bridge, self.fabric, self.poi, self.brand, self.group, hot=hot)
 
-    def residential(self, bridge: DataFrame) -> DataFrame:
-        return features.residential(bridge, self.fabric, self.sources, self.columns, self.code_source)
+    def residential(self, bridge: DataFrame, hot: DataFrame | str | None = FIND) -> DataFrame:
+        return features.residential(bridge, self.fabric, self.sources, self.columns, self.code_source, hot=hot)
 
     def matrix(self, bridge: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         """One row per site with both kinds of features, and labels if given.
 
-        The bridge feeds several joins, so it is written once and read back.
+        The bridge feeds several joins, so it is written once and read back, and
+        its frequent addresses are counted once.
         """
         narrow = cut_lineage(bridge.select("site_id", "addr_id"))
-        shops = self.business(narrow)
+        hot = hot_keys(narrow, None, ["addr_id"])
+        shops = self.business(narrow, hot)
         if labels is not None:
             shops = features.with_labels(shops, labels)
-        return features.training_matrix(shops, self.residential(narrow))
+        return features.training_matrix(shops, self.residential(narrow, hot))
 
 
 def prepare(matrix: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[models.FeatureList, DataFrame, DataFrame]:

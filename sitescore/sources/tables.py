@@ -49,11 +49,25 @@ def write_listings_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", fmt: str = "parquet") -> DataFrame:
-    """Create (or drop and recreate) a catalogue table and return it."""
+def write_table(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    bucket_by: tuple[int, str] | None = None,
+) -> DataFrame:
+    """Create (or drop and recreate) a catalogue table and return it.
+
+    ``bucket_by`` (number, column) stores the rows hashed and sorted by a join
+    key, so that later joins on that key read the table without a shuffle.
+    """
     writer = df.write.format(fmt).mode(mode)
     if path is not None:
         writer = writer.option("path", path)
+    if bucket_by is not None:
+        number, column = bucket_by
+        writer = writer.bucketBy(number, column).sortBy(column)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -120,3 +134,9 @@ def run_in_batches(
 def with_batch(df: DataFrame, batches: DataFrame, key: str = "site_id", batch_column: str = "batch_id") -> DataFrame:
     """Attach the batch id of every key; keys without a batch stay."""
     return df.join(batches.select(key, batch_column).distinct(), on=key, how="left")
+
+
+def limit_batches(df: DataFrame, n: int, batch_column: str = "batch_id") -> DataFrame:
+    """Rows of the first n batches, in the order of the batch ids."""
+    first = df.select(batch_column).distinct().orderBy(batch_column).limit(n)
+    return df.join(first, on=batch_column, how="left_semi")

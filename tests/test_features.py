@@ -3,6 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sitescore.operators import columns, enrich, features, quality
+from sitescore.operators.balance import hot_keys
 from sitescore.operators.enrich import FeatureSource
 
 FABRIC = "addr_id long, prop_type string, zipcode long, geoid long"
@@ -169,3 +170,27 @@ def test_audits(spark):
     assert [tuple(r) for r in quality.duplicate_columns(joined).collect()] == [("city", 2, 2), ("id", 2, 3)]
     assert {tuple(r) for r in quality.key_diff(left, right, "id", "a", "b").collect()} == {(2, "a")}
     assert features.column_sets(["b", "a"], ["b", "c"]) == {"union": ["a", "b", "c"], "left_only": ["a"], "right_only": ["c"]}
+
+
+def test_split_addresses_change_nothing(spark, shops):
+    """With every address treated as hot, features stay the same."""
+    fabric, bridge, people, profile = homes(spark)
+    hot = hot_keys(bridge, None, ["addr_id"], min_work=1)
+    assert hot.count() > 5
+    chosen = {"people": ["pop"], "profile": ["likes"]}
+    sources = sources_of(people, profile, True)
+
+    def rows(df):
+        return sorted(map(str, df.select(sorted(df.columns)).collect()))
+
+    plain = features.residential(bridge, fabric, sources, chosen, "people", hot=None)
+    split = features.residential(bridge, fabric, sources, chosen, "people", hot=hot)
+    assert rows(plain) == rows(split)
+    _, poi = shops
+    places = fabric.union(spark.createDataFrame([(100, "B", 1, 1)], FABRIC))
+    for once in (False, True):
+        a = features.business(bridge, places, poi, "OURS", "FOOD", distinct_bridge=once, hot=None)
+        b = features.business(bridge, places, poi, "OURS", "FOOD", distinct_bridge=once, hot=hot)
+        assert rows(a) == rows(b) != []
+    looked_up = enrich.resolve_addresses(bridge, fabric, "R", hot=hot)
+    assert rows(looked_up) == rows(enrich.resolve_addresses(bridge, fabric, "R", hot=None))

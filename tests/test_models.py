@@ -129,3 +129,25 @@ def test_appending_allows_new_columns(spark, tmp_path):
     assert sorted(map(str, tables.read_evolving(spark, path).collect())) == sorted(
         [f"Row(id={i}, extra=None)" for i in range(3)] + [f"Row(id={i}, extra='x')" for i in range(2)]
     )
+
+
+def test_limit_batches(spark):
+    df = spark.createDataFrame([(i, i % 4) for i in range(20)], "site_id long, batch_id long")
+    assert {r.batch_id for r in tables.limit_batches(df, 2).collect()} == {0, 1}
+    assert tables.limit_batches(df, 2).count() == 10
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("addr_id"), (F.col("id") % 7).alias("site_id"))
+    left = tables.write_table(rows, "bucketed_bridge", str(tmp_path / "l"), bucket_by=(4, "addr_id"))
+    right = tables.write_table(rows.select("addr_id"), "bucketed_fabric", str(tmp_path / "r"), bucket_by=(4, "addr_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.join(right, "addr_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_bridge")
+        spark.sql("DROP TABLE bucketed_fabric")
