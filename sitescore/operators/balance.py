@@ -1,12 +1,16 @@
 """Equi joins that stay even when a few keys hold most of the rows.
 
 A key whose work (pairs to build, or rows to carry) exceeds 1/1024 of the total
-is split: the rows of its larger side get one of n salts by hash, the rows of
-the other side are repeated for every salt, and the join runs on (key, salt).
-At most 1024 keys can exceed that share, so the list of hot keys has a fixed
-size bound; it is all that reaches the driver or is broadcast. Without hot keys
-the join is a plain one. The salt is a hash of the row, so a recomputed task
-gives the same rows.
+is hot; at most 1024 keys can be, so their list has a fixed size bound. Without
+hot keys the join is a plain one. Otherwise:
+
+- If the right side has few rows for the hot keys (counted first), these rows
+  are broadcast: hot left rows are joined where they lie and only the others
+  are shuffled.
+- Else hot keys are split: the rows of a key's larger side get one of n salts by
+  hash, the rows of its other side are repeated for every salt, and the join
+  runs on (key, salt). The salt is a hash of the row, so a recomputed task gives
+  the same rows.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 
 PIECES = 1024
 MIN_WORK = 4_000_000
+MAX_BROADCAST_ROWS = 16 * PIECES
 SALT = "__salt"
 FIND = "find"
 
@@ -54,19 +59,24 @@ def hot_keys(
     return left.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
-def _spread(df: DataFrame, on: Sequence[str], hot: DataFrame, is_left: bool, by: Sequence[str] | None) -> DataFrame:
-    marked = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in on], "__splits", "__split_left")
-    match = [df[k].eqNullSafe(marked[f"__hot_{k}"]) for k in on]
-    joined = df.join(F.broadcast(marked), match, "left").drop(*[f"__hot_{k}" for k in on])
-    row_hash = F.xxhash64(*[F.col(c) for c in (by or df.columns)])
-    own = F.pmod(row_hash, F.col("__splits").cast("bigint")).cast("int")
-    splits_here = F.col("__split_left") if is_left else ~F.col("__split_left")
-    salts: Column = (
-        F.when(F.col("__splits").isNull(), F.array(F.lit(0)))
-        .when(splits_here, F.array(own))
-        .otherwise(F.sequence(F.lit(0), F.col("__splits") - 1))
-    )
-    return joined.withColumn(SALT, F.explode(salts)).drop("__splits", "__split_left")
+def _match(df: DataFrame, on: Sequence[str], hot: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``hot`` with its keys renamed, and the condition that equates them; NULL equals NULL."""
+    marked = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{k}") for k in on], "__splits", "__split_left"))
+    return marked, [df[k].eqNullSafe(marked[f"__hot_{k}"]) for k in on]
+
+
+def _salted(df: DataFrame, on: Sequence[str], hot: DataFrame, salt: Column) -> DataFrame:
+    """``df`` with a salt computed from the columns of ``hot``, NULL for other keys."""
+    joined = df.join(*_match(df, on, hot), "left")
+    return joined.select(*[df[c] for c in df.columns], salt.alias(SALT))
+
+
+def _own_salt(df: DataFrame, by: Sequence[str] | None) -> Column:
+    return F.pmod(F.xxhash64(*[df[c] for c in (by or df.columns)]), F.col("__splits").cast("bigint")).cast("int")
+
+
+def _every_salt() -> Column:
+    return F.sequence(F.lit(0), F.col("__splits") - 1)
 
 
 def balanced_join(
@@ -97,11 +107,31 @@ def balanced_join(
     pairs = how == "inner" and not right_unique
     if isinstance(hot, str):
         hot = hot_keys(left, right if pairs else None, on, min_work)
-    keys = on
-    if hot is not None:
-        keys = [*on, SALT]
-        left = _spread(left, on, hot, True, left_by)
-        right = _spread(right, on, hot, False, right_by)
+    if hot is None:
+        if distinct_left:
+            left = left.repartition(*on).distinct()
+        return left.join(right, on=on, how=how)
+
+    if not pairs:
+        hot_right = right.join(*_match(right, on, hot), "left_semi")
+        if hot_right.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+            often = left.join(*_match(left, on, hot), "left_semi")
+            seldom = left.join(*_match(left, on, hot), "left_anti")
+            if distinct_left:
+                often, seldom = often.distinct(), seldom.repartition(*on).distinct()
+            return seldom.join(right, on=on, how=how).unionByName(often.join(F.broadcast(hot_right), on=on, how=how))
+
+    own_left = _own_salt(left, left_by)
+    if pairs:
+        own_right, here = _own_salt(right, right_by), F.col("__split_left")
+        cold = F.array(F.lit(0))
+        salt_left = F.explode(F.when(here, F.array(own_left)).when(~here, _every_salt()).otherwise(cold))
+        salt_right = F.when(here, _every_salt()).when(~here, F.array(own_right)).otherwise(cold)
+    else:
+        salt_left = F.coalesce(own_left, F.lit(0))
+        salt_right = F.coalesce(_every_salt(), F.array(F.lit(0)))
+    keys = [*on, SALT]
+    left, right = _salted(left, on, hot, salt_left), _salted(right, on, hot, F.explode(salt_right))
     if distinct_left:
         left = left.repartition(*keys).distinct()
     return left.join(right, on=keys, how=how).drop(SALT)

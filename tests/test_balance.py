@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sitescore.operators import balance
 from sitescore.operators.balance import PIECES, SALT, balanced_join, hot_keys
 
 
@@ -23,8 +24,10 @@ def rows(df):
     return sorted(map(str, (tuple(r) for r in df.select("k", "a", "b").collect())))
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_same_as_plain_join(spark, how):
+@pytest.mark.parametrize("how,few", [("inner", 16_384), ("left", 16_384), ("left", 10)])
+def test_same_as_plain_join(spark, monkeypatch, how, few):
+    """Split keys and broadcast hot rows (up to ``few``) give the rows of a plain join."""
+    monkeypatch.setattr(balance, "MAX_BROADCAST_ROWS", few)
     left, right = skewed(spark)
     want = rows(left.join(right, on="k", how=how))
     for min_work in (1, 100, 4_000_000):
@@ -38,7 +41,9 @@ def test_hot_right_side(spark):
     assert rows(balanced_join(left, right, "k", min_work=10)) == rows(left.join(right, on="k"))
 
 
-def test_unique_right_and_distinct_left(spark):
+@pytest.mark.parametrize("few", [16_384, 3])
+def test_unique_right_and_distinct_left(spark, monkeypatch, few):
+    monkeypatch.setattr(balance, "MAX_BROADCAST_ROWS", few)
     left, _ = skewed(spark)
     right = spark.createDataFrame([(i, i * 10) for i in range(40)], "k long, b long")
     want = rows(left.distinct().join(right, on="k"))
@@ -58,8 +63,10 @@ def test_hot_keys_are_bounded_and_found(spark):
     assert hot_keys(left, None, ["k"]) is None
 
 
-def test_hot_key_spreads_over_tasks(spark):
+@pytest.mark.parametrize("few", [16_384, 0])
+def test_hot_key_spreads_over_tasks(spark, monkeypatch, few):
     """With a third of the rows on one key, no shuffle partition gets a third."""
+    monkeypatch.setattr(balance, "MAX_BROADCAST_ROWS", few)
     left = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
     right = spark.range(-1, 90_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("b"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
