@@ -7,11 +7,14 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from sitescore.session import scratch_path
 
@@ -52,6 +55,10 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def word64(x: int) -> np.uint64:
+    return U64(x & (2**64 - 1))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all output bits."""
     x = (x ^ (x >> U64(30))) * MIX1
@@ -125,38 +132,50 @@ def rolled(values: np.ndarray, width: int) -> np.ndarray:
         if left:
             part = part[: len(part) - size] * power + part[size:]
             size *= 2
-            power = power * power
+            power = word64(int(power) ** 2)
     return mix(hashes[:n])
 
 
+def row_key() -> Column:
+    """Names a row by its id and whole text; rows that repeat both share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), whole_text())
+
+
 def chunked(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """(chunk, doc_id, text) with every row in one of many chunks of about equal size."""
+    """(chunk, row, doc_id, text) with every row in one of many chunks of about equal size."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     chunks = max(1, math.ceil(size / chunk_bytes))
-    return rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text")
+    rows = rows.withColumn("row", row_key())
+    return rows.select(F.pmod("row", F.lit(chunks)).cast("int").alias("chunk"), "row", "doc_id", "text")
+
+
+#: Stands for a null id where ids are compared: null comes first.
+NO_ID = -(2**63)
 
 
-def read_chunk(rows: pa.Table) -> tuple[list, np.ndarray, list[bytes]]:
-    """Ids, ids for comparing (null first), and texts of a chunk in a fixed order."""
-    ids = rows["doc_id"].to_pylist()
+def read_chunk(rows: pa.Table) -> tuple[list, list, list[bytes]]:
+    """Ids, row keys and texts of a chunk, in a fixed order: by id, null first, then by row key."""
+    ids, keys = rows["doc_id"].to_pylist(), rows["row"].to_pylist()
     texts = rows["text"].cast(pa.binary()).to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i]))
-    ids, texts = [ids[i] for i in order], [texts[i] for i in order]
-    return ids, np.array([-(2**63) if i is None else i for i in ids], np.int64), texts
+    order = sorted(range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], keys[i]))
+    return [ids[i] for i in order], [keys[i] for i in order], [texts[i] for i in order]
 
 
-BLOBS = "bucket int, chunk int, keys binary, ids binary"
+BLOBS = "bucket int, chunk int, keys binary, notes binary"
 FLAGS = "chunk int, bucket int, flags binary"
 
 
-def first_places(keys: np.ndarray) -> np.ndarray:
-    """Places where a key occurs for the first time, ascending."""
+def first_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different key occurs first, ascending, and how often it occurs."""
     order = np.argsort(keys, kind="stable")
     run = keys[order]
     fresh = np.ones(len(run), bool)
     fresh[1:] = run[1:] != run[:-1]
-    return np.sort(order[fresh])
+    begin = np.flatnonzero(fresh)
+    places, counts = order[begin], np.diff(np.append(begin, len(run)))
+    back = np.argsort(places)
+    return places[back], counts[back]
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -164,92 +183,93 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mix(keys ^ ROLL) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
-def _blobs(chunk: int, keys: np.ndarray, ids: np.ndarray | None, buckets: int) -> pa.Table:
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that puts keys bucket by bucket, and where each bucket begins."""
     bucket = _bucket(keys, buckets)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    keys = keys[order]
-    ids = None if ids is None else ids[order]
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _blobs(chunk: int, keys: np.ndarray, notes: np.ndarray, buckets: int) -> pa.Table:
+    order, cuts = _dealt(keys, buckets)
+    keys, notes = keys[order], notes[order]
     rows = [(b, s, e) for b, (s, e) in enumerate(zip(cuts[:-1], cuts[1:])) if e > s]
     return pa.table(
         {
             "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
             "chunk": pa.array([chunk] * len(rows), pa.int32()),
             "keys": pa.array([keys[s:e].tobytes() for _, s, e in rows], pa.binary()),
-            "ids": pa.array([b"" if ids is None else ids[s:e].tobytes() for _, s, e in rows], pa.binary()),
+            "notes": pa.array([notes[s:e].tobytes() for _, s, e in rows], pa.binary()),
         }
     )
 
 
-def _decide(rows: pa.Table, later: bool) -> pa.Table:
-    """Flag keys of one bucket: those that an earlier chunk holds, or all that two chunks hold."""
+def _decide(rows: pa.Table, hot: int | None) -> pa.Table:
+    """Flags for the keys of one bucket, as :func:`exchange_keys` says."""
     rows = rows.sort_by("chunk")
     parts = [np.frombuffer(b, U64) for b in rows["keys"].to_pylist()]
     keys = np.concatenate(parts)
+    notes = np.concatenate([np.frombuffer(b, np.int64 if hot is None else np.uint16) for b in rows["notes"].to_pylist()])
     order = np.argsort(keys, kind="stable")
     run = keys[order]
-    same = run[1:] == run[:-1]
-    again = np.zeros(len(run), bool)
-    again[1:] |= same
-    again[:-1] |= same
-    flag = np.zeros(len(keys), bool)
-    if later:
-        # the earliest of a key is the one with the smallest id, then chunk
-        ids = np.concatenate([np.frombuffer(b, np.int64) for b in rows["ids"].to_pylist()])
-        some = order[again]
-        some = some[np.lexsort((some, ids[some], keys[some]))]
-        flag[some[1:][keys[some[1:]] == keys[some[:-1]]]] = True
+    fresh = np.ones(len(run), bool)
+    fresh[1:] = run[1:] != run[:-1]
+    flag = np.zeros(len(keys), np.uint8)
+    if hot is None:
+        shared = ~fresh
+        shared[:-1] |= ~fresh[1:]
+        some = order[shared]
+        some = some[np.lexsort((some, notes[some], keys[some]))]
+        flag[some[1:][keys[some[1:]] == keys[some[:-1]]]] = 1
     else:
-        flag[order[again]] = True
+        total = np.add.reduceat(notes[order].astype(np.int64), np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        flag[order] = (total > 1).astype(np.uint8) + (total >= hot)
     ends = np.cumsum([len(p) for p in parts])
-    packed = [np.packbits(flag[e - len(p) : e]).tobytes() if flag[e - len(p) : e].any() else None for p, e in zip(parts, ends)]
-    told = pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "flags": pa.array(packed, pa.binary())})
-    return told.filter(pa.compute.is_valid(told["flags"]))
+    told = [flag[e - len(p) : e] for p, e in zip(parts, ends)]
+    told = pa.array([f.tobytes() if f.any() else None for f in told], pa.binary())
+    return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "flags": told}).filter(told.is_valid())
 
 
 def exchange_keys(
     chunks: DataFrame,
-    keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray | None]],
-    finish: Callable[[pa.Table, np.ndarray], pa.Table],
+    keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray, Any]],
+    finish: Callable[[Any, np.ndarray], pa.Table],
     schema: str,
-    later: bool = False,
+    hot: int | None = None,
 ) -> DataFrame:
     """Let all chunks learn which of their 64-bit keys other chunks hold too.
 
-    ``keys_of(rows)`` gives the different keys of a chunk (and the id of each,
-    if ``later``); the keys go to buckets in packed form, each key once for a
-    chunk however often the chunk holds it, so a key that a third of all rows
-    share arrives once for each chunk. ``finish(rows, flags)`` then gets the
-    chunk again with one flag for each of its keys, in the same order: whether
-    another chunk holds the key or, if ``later``, whether the key's smallest
-    (id, chunk) lies in another chunk.
+    ``keys_of(rows)`` gives the different keys of a chunk, a note for each, and
+    what ``finish`` needs. The keys go to buckets in packed form, each key once
+    for a chunk however often the chunk holds it, so a key that a third of all
+    rows share arrives once for each chunk. ``finish`` then gets one flag for
+    each key of the chunk. Without ``hot`` a note is the id of the key's first
+    holder, and a flag of 1 says that another chunk holds the key under a
+    smaller id (of equal ids, the smaller chunk's). With ``hot`` a note is how
+    often the chunk holds the key, and a flag is 0 for a key that exists once, 2
+    for one that exists ``hot`` times or more, else 1.
     """
     buckets = max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    empty = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
 
     def send(rows: pa.Table) -> pa.Table:
-        keys, ids = keys_of(rows)
-        return _blobs(rows["chunk"][0].as_py(), keys, ids, buckets)
+        keys, notes, _ = keys_of(rows)
+        notes = notes.astype(np.int64) if hot is None else np.minimum(notes, 65535).astype(np.uint16)
+        return _blobs(rows["chunk"][0].as_py(), keys, notes, buckets)
 
     def decide(rows: pa.Table) -> pa.Table:
-        return _decide(rows, later)
+        return _decide(rows, hot)
 
     def end(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return empty
-        keys, _ = keys_of(rows)
-        bucket = _bucket(keys, buckets)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        flags = np.zeros(len(keys), bool)
-        for b, packed in zip(told["bucket"].to_pylist(), told["flags"].to_pylist()):
-            place = order[cuts[b] : cuts[b + 1]]
-            flags[place] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(place)).astype(bool)
-        return finish(rows, flags)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
+        keys, _, state = keys_of(rows)
+        order, cuts = _dealt(keys, buckets)
+        flags = np.zeros(len(keys), np.uint8)
+        for b, found in zip(told["bucket"].to_pylist(), told["flags"].to_pylist()):
+            flags[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(found, np.uint8)
+        return finish(state, flags)
 
-    empty = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
     sent = chunks.groupBy("chunk").applyInArrow(send, BLOBS)
     told = sent.groupBy("bucket").applyInArrow(decide, FLAGS)
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(end, schema)

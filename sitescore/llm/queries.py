@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from sitescore.llm.decontamination import find_benchmark, items_digest
 from sitescore.llm.exact_dedup import exact_dedup
+from sitescore.llm.jaccard_join import near_copies
 from sitescore.llm.kit import ship, table
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.mixing import mix_sources
+from sitescore.llm.substring_dedup import remove_repeats
+from sitescore.llm.suffix_dedup import remove_repeated_bytes
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +23,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "__language.lang_pred", "__language.score")
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = find_benchmark(docs, table(spark, folder, "benchmark"))
@@ -37,10 +45,19 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents")).drop("source")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeated_bytes(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,8 +71,11 @@ QUERIES = {
     f.__name__: _shipped(f)
     for f in (
         op1_language_id,
+        op2_substring_dedup,
+        op6_suffix_dedup,
         op7_decontamination,
         op8_exact_dedup,
+        op9_jaccard_join,
         op10_source_mixing,
     )
 }
