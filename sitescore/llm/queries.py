@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from sitescore.llm.decontamination import find_benchmark, items_digest
 from sitescore.llm.exact_dedup import exact_dedup
+from sitescore.llm.html_text import extractor
 from sitescore.llm.jaccard_join import near_copies
 from sitescore.llm.kit import ship, table
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.mixing import mix_sources
+from sitescore.llm.secret_scan import BASE, LEARNED, find_secrets
 from sitescore.llm.substring_dedup import remove_repeats
 from sitescore.llm.suffix_dedup import remove_repeated_bytes
+from sitescore.llm.warc import archived
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,6 +56,30 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents")).drop("source")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = archived(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "frame", "offset")
+
+
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("__secrets")
+    base = F.filter(spans, lambda s: s["kind"] != LEARNED)
+    joined = lambda some: F.concat_ws(",", F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    number = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in BASE],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", extractor()(F.col("html")).alias("text"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeated_bytes(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -72,6 +99,9 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_substring_dedup,
+        op3_warc,
+        op4_secret_scan,
+        op5_html_extraction,
         op6_suffix_dedup,
         op7_decontamination,
         op8_exact_dedup,
