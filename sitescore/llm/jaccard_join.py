@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitescore.llm.components import components
-from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Words, chunked, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
+from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
 
 FOUND = "kind int, doc_id long, row long, n long, node long, key long, tokens binary"
 DOCUMENT, MEMBER, SET = 0, 1, 2
@@ -104,14 +104,16 @@ def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarr
 def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataFrame:
     """Rows of three kinds: documents, sets in cells that other sets share, and the shingles of those sets."""
 
-    def keys_of(rows: pa.Table):
+    chunks = chunked(docs, chunk_bytes)
+
+    def keys_of(rows: pa.Table, copies: list[bytes]):
         ids, row, texts = read_chunk(rows)
         tokens, first, names = shingle_sets(texts, width)
         size = np.diff(first)
         low = bands(int(size.max(initial=1)), percent)
-        # one set of each name, in the order of the documents
-        one, _ = first_places(names)
-        one = one[size[one] > 0]
+        # one set of each name, in the order of the documents; copies of a text elsewhere send nothing
+        own = np.flatnonzero((np.frombuffer(copies[0], np.uint8) == 0) & (size > 0))
+        one = own[first_places(names[own])[0]]
         begin = first[one]
         starts = np.concatenate(([0], np.cumsum(size[one])))
         pick = np.repeat(begin, size[one]) + np.arange(starts[-1]) - np.repeat(starts[:-1], size[one])
@@ -156,7 +158,7 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
             }
         )
 
-    return exchange_keys(chunked(docs, chunk_bytes), keys_of, finish, FOUND, hot=1 << 62)
+    return exchange_keys(chunks, keys_of, finish, FOUND, hot=1 << 62, aside=copied_texts(chunks))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 512) -> DataFrame:
@@ -199,55 +201,53 @@ def _fits(percent: int):
 def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: int) -> DataFrame:
     """(node, component) of the sets that link with another one.
 
-    Sets in one cell are not compared each with each: in a round, each is
-    compared with one set of its cell drawn by the round's number, unless links
-    join them already. When few pairs of different components are left in the
-    cells, or after ``star_rounds`` rounds, all pairs left are compared, so no link
+    Sets in one cell are not compared each with each. In a round, one set of
+    each cell is drawn, and every set is compared with that drawn one with which
+    it shares most cells, unless links join the two already. Cells whose sets
+    are all joined are done. When at most ``few`` pairs can be left in the cells,
+    or after ``star_rounds`` rounds, all pairs left are compared, so no link
     between components is missed.
     """
     spark = found.sparkSession
-    members = found.where(F.col("kind") == MEMBER).select("key", "node", "n").distinct()
-    several = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    members = kept(members.join(several, "key"), "members")
-    sets = found.where(F.col("kind") == SET).join(members.select("node").distinct(), "node", "left_semi")
-    sets = kept(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
-    links = spark.createDataFrame([], "a long, b long")
-    tested, comps, turn = links, spark.createDataFrame([], "node long, component long"), 0
+    labelled = found.where(F.col("kind") == MEMBER).select("key", "node", "n", F.col("node").alias("component"))
+    links = tested = spark.createDataFrame([], "a long, b long")
+    comps, sets, turn = spark.createDataFrame([], "node long, component long"), None, 0
     while True:
-        labelled = members.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        by_part = labelled.groupBy("key", "component").agg(F.count("*").alias("held"))
-        open_keys = by_part.groupBy("key").agg(F.sum("held").alias("all"), F.sum(F.col("held") * F.col("held")).alias("same"), F.count("*").alias("parts"))
-        open_keys = open_keys.where("parts > 1")
-        labelled = kept(labelled.join(open_keys.select("key", ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("left")), "key"), "open")
-        if labelled.isEmpty():
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")))
+        spread = F.max("component") > F.min("component")
+        cells_open = labelled.groupBy("key").agg(drawn.alias("s"), spread.alias("open"), F.count("*").alias("held")).where("open")
+        cells_open = cells_open.select("key", "s.a", "s.n_a", "s.c_a", (F.col("held") * (F.col("held") - 1)).alias("pairs"))
+        labelled = kept(labelled.join(cells_open, "key"), "open")
+        rest = labelled.where("node = a").agg(F.sum("pairs")).first()[0]
+        if rest is None:
             break
-        rest = labelled.select("key", "left").distinct().agg(F.sum("left")).first()[0]
-        last = rest <= few or turn >= star_rounds
-        one = labelled.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        if not last:
-            draw = F.struct(F.xxhash64(F.lit(turn), "a").alias("h"), "a", "n_a", "c_a")
-            one = one.groupBy("key").agg(F.min(draw).alias("s")).select("key", "s.a", "s.n_a", "s.c_a")
-        two = labelled.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        pairs = one.join(two, "key").where(F.col("c_a") != F.col("c_b")).where(_fits(percent))
+        if sets is None:
+            sets = found.where(F.col("kind") == SET).join(labelled.select("node").distinct(), "node", "left_semi")
+            sets = kept(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+        last = rest <= 2 * few or turn >= star_rounds
+        two = labelled.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a")
         if last:
-            pairs = pairs.where("a < b")
-        # the set drawn for a cell stays on the left: it is read once for its partners
-        pairs = pairs.select("a", "b").distinct()
+            one = labelled.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+            two = two.drop("a", "n_a", "c_a").join(one, "key").where("a < b")
+        pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).groupBy("a", "b").agg(F.count("*").alias("shared"))
         seen = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = kept(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        if not last:
+            pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("s")).select("s.a", "b")
+        pairs = kept(pairs.select("a", "b"), "pairs")
         if not pairs.isEmpty():
             fresh = kept(_verified(pairs, sets, percent), "links")
-            links = links.unionAll(fresh)
-            tested = tested.unionAll(pairs)
+            links, tested = links.unionAll(fresh), tested.unionAll(pairs)
             if not fresh.isEmpty():
                 comps = kept(components(links), "components")
         if last:
             break
+        labelled = labelled.select("key", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
     return comps
 
 
-def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 8 << 20, star_rounds: int = 6, few: int = 200_000) -> DataFrame:
+def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: int = 20_000_000) -> DataFrame:
     """One row per document: doc_id, row, n_shingles, component_id.
 
     A document's set holds the different shingles of ``width`` words of its
@@ -271,7 +271,7 @@ def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 8 << 20) -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20) -> DataFrame:
     """``docs`` with, of each component, the rows whose id is the smallest one; all columns kept."""
     found = near_copies(docs, width, percent, chunk_bytes)
     gone = kept(found.where("not (doc_id <=> component_id)").select(F.col("row").alias("__row")).distinct(), "gone")

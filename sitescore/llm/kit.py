@@ -11,6 +11,8 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -236,6 +238,7 @@ def exchange_keys(
     finish: Callable[[Any, np.ndarray], pa.Table],
     schema: str,
     hot: int | None = None,
+    aside: DataFrame | None = None,
 ) -> DataFrame:
     """Let all chunks learn which of their 64-bit keys other chunks hold too.
 
@@ -247,13 +250,23 @@ def exchange_keys(
     holder, and a flag of 1 says that another chunk holds the key under a
     smaller id (of equal ids, the smaller chunk's). With ``hot`` a note is how
     often the chunk holds the key, and a flag is 0 for a key that exists once, 2
-    for one that exists ``hot`` times or more, else 1.
+    for one that exists ``hot`` times or more, else 1. Rows of ``aside``, with -1
+    as bucket, hand ``keys_of`` more bytes about a chunk.
     """
     buckets = max(1, int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    empty = to_arrow_schema(_parse_datatype_string(schema)).empty_table()
+    empty, nothing = (to_arrow_schema(_parse_datatype_string(x)).empty_table() for x in (schema, BLOBS))
 
-    def send(rows: pa.Table) -> pa.Table:
-        keys, notes, _ = keys_of(rows)
+    plain = aside is None
+
+    def read(rows: pa.Table, told: pa.Table | None):
+        if plain:
+            return keys_of(rows)
+        return keys_of(rows, told.filter(pa.compute.equal(told["bucket"], -1))["flags"].to_pylist())
+
+    def send(rows: pa.Table, told: pa.Table | None = None) -> pa.Table:
+        if not rows.num_rows:
+            return nothing
+        keys, notes, _ = read(rows, told)
         notes = notes.astype(np.int64) if hot is None else np.minimum(notes, 65535).astype(np.uint16)
         return _blobs(rows["chunk"][0].as_py(), keys, notes, buckets)
 
@@ -263,13 +276,42 @@ def exchange_keys(
     def end(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return empty
-        keys, _, state = keys_of(rows)
+        keys, _, state = read(rows, told)
         order, cuts = _dealt(keys, buckets)
         flags = np.zeros(len(keys), np.uint8)
+        pa.default_memory_pool().release_unused()
         for b, found in zip(told["bucket"].to_pylist(), told["flags"].to_pylist()):
+            if b < 0:
+                continue
             flags[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(found, np.uint8)
         return finish(state, flags)
 
-    sent = chunks.groupBy("chunk").applyInArrow(send, BLOBS)
+    if aside is None:
+        sent = chunks.groupBy("chunk").applyInArrow(lambda rows: send(rows), BLOBS)
+    else:
+        sent = chunks.groupBy("chunk").cogroup(aside.groupBy("chunk")).applyInArrow(send, BLOBS)
     told = sent.groupBy("bucket").applyInArrow(decide, FLAGS)
+    told = told if aside is None else told.unionAll(aside)
     return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(end, schema)
+
+
+def copied_texts(chunks: DataFrame) -> DataFrame:
+    """For each chunk, one byte for each row: 1 if an equal text stands earlier, by id, in another row.
+
+    In the form of ``aside``; texts compare by 64 bits and the bucket.
+    """
+
+    def keys_of(rows: pa.Table):
+        ids, _, texts = read_chunk(rows)
+        hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], U64)
+        first, _ = first_places(hashes)
+        order = np.array([NO_ID if i is None else i for i in ids], np.int64)
+        return hashes[first], order[first], (rows["chunk"][0].as_py(), len(ids), first)
+
+    def finish(state, later: np.ndarray) -> pa.Table:
+        chunk, size, first = state
+        copy = np.ones(size, np.uint8)
+        copy[first] = later > 0
+        return pa.table({"chunk": pa.array([chunk], pa.int32()), "bucket": pa.array([-1], pa.int32()), "flags": pa.array([copy.tobytes()], pa.binary())})
+
+    return exchange_keys(chunks, keys_of, finish, FLAGS)

@@ -66,8 +66,8 @@ class Space:
 
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         total = np.zeros(self.dims, np.float32)
-        for i in range(0, len(grams), 4096):
-            total += counts[i : i + 4096].astype(np.float32) @ self.vectors(grams[i : i + 4096]).astype(np.float32)
+        for i in range(0, len(grams), 1024):
+            total += counts[i : i + 1024].astype(np.float32) @ self.vectors(grams[i : i + 1024]).astype(np.float32)
         return total
 
 
@@ -93,8 +93,8 @@ def learn(docs: DataFrame, dims: int = 1024, seed: int = 7) -> dict[str, list[fl
         for lang, held in counts.items():
             grams = np.flatnonzero(held)
             total = np.zeros(dims, np.int64)
-            for i in range(0, len(grams), 4096):
-                total += held[grams[i : i + 4096]] @ space.vectors(grams[i : i + 4096]).astype(np.int64)
+            for i in range(0, len(grams), 512):
+                total += held[grams[i : i + 512]] @ space.vectors(grams[i : i + 512]).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * dims, "dim": pa.array(range(dims), pa.int32()), "value": pa.array(total, pa.int64())})
 
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").where("lang is not null and text is not null")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitescore.llm.kit import kept
-from sitescore.session import scratch_path
+from sitescore.session import scratch_path, spread
 
 # fixed values of the seekable format
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -200,8 +200,7 @@ def read_archives(bundles: DataFrame) -> DataFrame:
                     for frame in range(len(table)):
                         yield _records(read_frame(source, table, frame), bundle, frame)
 
-    tasks = int(bundles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return bundles.select("bundle").distinct().repartition(tasks, "bundle").mapInArrow(read, RECORDS)
+    return spread(bundles.select("bundle").distinct(), "bundle").mapInArrow(read, RECORDS)
 
 
 def _records(data: bytes, bundle: str, frame: int) -> pa.RecordBatch:
