@@ -247,8 +247,8 @@ FROM (SELECT r.run_id, r.shift, b.stars, b.prediction + r.shift AS prediction
     "struct_expand": sql("address_fabric", "SELECT addr_id, round(lon + 1e-9, 6) AS lon, round(lat + 1e-9, 6) AS lat, zipcode FROM address_fabric"),
     "address_map": sql(
         "listings",
-        """SELECT listing_id, 'mainAddressLine' AS field, address AS content FROM listings
-UNION ALL SELECT listing_id, 'postCode1', CAST(zipcode AS VARCHAR) FROM listings
+        """SELECT listing_id, 'address' AS field, address AS content FROM listings
+UNION ALL SELECT listing_id, 'zipcode', CAST(zipcode AS VARCHAR) FROM listings
 UNION ALL SELECT listing_id, 'country', 'USA' FROM listings""",
     ),
     "brand_sites": sql("poi", "SELECT * FROM poi WHERE business_line LIKE '%widget%'"),
@@ -441,8 +441,8 @@ JOIN sides s ON b.site_id = s.site_id JOIN address_fabric f ON b.addr_id = f.add
     "geocode_fuzzy": sql("listings address_fabric", _geocode(f"{_EXACT_ROWS} UNION ALL SELECT listing_id, k, 'spelling' FROM near"), ASKED, KNOWN, EXACT, NEAR),
     "travel_boundary": sql(
         "sites",
-        """SELECT s.site_id, o.i, round(s.x + o.ux * (30e0 * 5e0 / 60e0 / 69e0 / cos(radians(s.y))) + 1e-9, 6) AS vx, round(s.y + o.uy * (30e0 * 5e0 / 60e0 / 69e0) + 1e-9, 6) AS vy
-FROM sites s CROSS JOIN octagon o""",
+        """SELECT s.site_id, o.i, round(s.x + o.ux * r.corner / cos(radians(s.y)) + 1e-9, 6) AS vx, round(s.y + o.uy * r.corner + 1e-9, 6) AS vy
+FROM (SELECT 2.5e0 / 69e0 * sqrt(4e0 - 2e0 * sqrt(2e0)) AS corner) r CROSS JOIN sites s CROSS JOIN octagon o""",
         OCTAGON_CTE,
     ),
     "network_reach": sql(

@@ -217,7 +217,9 @@ def run_log(t):
         shifted = rows.withColumn("prediction", F.col("prediction") + shift)
         one = models.metrics(shifted)
         run = one.select(
+            F.lit("baseline").alias("search_id"),
             F.lit(run_id).alias("run_id"),
+            F.lit("finished").alias("status"),
             F.create_map(F.lit("shift"), F.lit(str(shift))).alias("params"),
             F.create_map(*[c for m in ("rmse", "mape", "mae") for c in (F.lit(m), F.col(m))]).alias("metrics"),
         )
@@ -264,7 +266,7 @@ def struct_expand(t):
 
 @query
 def address_map(t):
-    request = columns.request_map(mainAddressLine=F.col("address"), postCode1=F.col("zipcode"), country=F.lit("USA"))
+    request = columns.request_map(address=F.col("address"), zipcode=F.col("zipcode"), country=F.lit("USA"))
     asked = t["listings"].select("listing_id", request.alias("request"))
     return asked.select("listing_id", F.explode("request").alias("field", "content"))
 
@@ -758,11 +760,12 @@ def model_comparison(t):
 @query
 def grid_search(t):
     _, train, test = prepared(t)
-    grid = models.grid_rows(n_estimators=[10, 20], criterion=["mse"], bootstrap=[True], max_samples=[0.3, 0.9])
+    grid = models.grid_rows(n_estimators=[10, 20], criterion=["mse", "mae"], bootstrap=[True], max_samples=[0.3, 0.9])
     runs = models.grid_search(train, test, grid)
     return runs.select(
         "run_id",
-        *[F.col("params")[p].alias(p) for p in ("n_estimators", "max_samples")],
+        "status",
+        *[F.col("params")[p].alias(p) for p in ("n_estimators", "criterion", "max_samples")],
         *[F.col("metrics")[m].alias(m) for m in ("rmse", "mape", "mae")],
     )
 

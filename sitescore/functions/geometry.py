@@ -11,6 +11,8 @@ text costs a single call to the JVM.
 
 from __future__ import annotations
 
+from math import cos, pi
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,8 @@ OCTAGON = (
     (0.7071067811865476, -0.7071067811865476),
     (1.0, 0.0),
 )
+#: Distance of the unit octagon's edges from its centre.
+OCTAGON_INRADIUS = cos(pi / 8)
 MILES_PER_DEGREE = 69.0
 
 # A boundary hit adds this even number, a ray crossing adds 1.

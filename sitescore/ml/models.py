@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -141,37 +142,47 @@ def grid_search(
     label: str = "stars",
     parallelism: int = 4,
     seed: int = SEED,
+    scaling: str = "none",
 ) -> DataFrame:
     """Fit a forest per parameter row and return the run log.
 
     Each fit is a Spark job over the distributed rows; ``parallelism`` of them
-    run at a time. Spark trees know the variance criterion only, so rows asking
-    for ``mae`` are left out.
+    run at a time. Spark trees know the variance criterion only: rows that ask
+    for another one come back as ``unsupported`` with NULL metrics. ``search_id``
+    tells searches apart in one log.
     """
     spark = train.sparkSession
-    wanted = [dict(p) for p in grid if p.get("criterion", "mse") == "mse"]
+    search_id = uuid.uuid4().hex
+    wanted = [dict(p) for p in grid]
 
     def run(numbered: tuple[int, dict[str, object]]) -> tuple:
         run_id, params = numbered
+        tags = {k: str(v) for k, v in {**params, "model type": "randomForestRegressor", "scaling": scaling}.items()}
+        if params.get("criterion", "mse") != "mse":
+            return search_id, run_id, "unsupported", tags, {}
         known = {k: v for k, v in params.items() if k in _FOREST_PARAMS}
         model = fit("rf", train, label, known, seed)
         row = metrics(model.transform(test), label).first()
-        tags = {**params, "model type": "randomForestRegressor"}
-        return run_id, {k: str(v) for k, v in tags.items()}, {k: row[k] for k in ("rmse", "mape", "mae")}
+        return search_id, run_id, "finished", tags, {k: row[k] for k in ("rmse", "mape", "mae")}
 
     with ThreadPool(max(1, min(parallelism, len(wanted)))) as pool:
         rows = pool.map(inheritable_thread_target(spark)(run), list(enumerate(wanted)))
-    return spark.createDataFrame(rows, "run_id int, params map<string,string>, metrics map<string,double>")
+    return spark.createDataFrame(rows, "search_id string, run_id int, status string, params map<string,string>, metrics map<string,double>")
 
 
 def log_runs(runs: DataFrame, path: str) -> None:
-    """Append runs (run_id, params, metrics) to the log."""
-    runs.select("run_id", "params", "metrics").write.mode("append").parquet(path)
+    """Append runs to the log; (search_id, run_id) is the key."""
+    runs.select("search_id", "run_id", "status", "params", "metrics").write.mode("append").parquet(path)
 
 
 def best_run(runs: DataFrame, metric: str = "mape") -> DataFrame:
-    """The run with the smallest metric, ties by run id; NULL metrics lose."""
-    return runs.orderBy(F.asc_nulls_last(metric), "run_id").limit(1)
+    """The run with the smallest metric, ties by run id; NULL metrics lose.
+
+    Reads measured runs with a column for each metric as well as the run log.
+    """
+    value = F.col(metric) if metric in runs.columns else F.col("metrics")[metric]
+    ties = [c for c in ("run_id", "search_id") if c in runs.columns]
+    return runs.orderBy(value.asc_nulls_last(), *ties).limit(1)
 
 
 def train_final(train: DataFrame, test: DataFrame, params: Mapping[str, object] | None = None, label: str = "stars", seed: int = SEED) -> tuple[Model, DataFrame]:

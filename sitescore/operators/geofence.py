@@ -27,12 +27,14 @@ def travel_boundary(
 ) -> DataFrame:
     """Add an octagon that holds what a straight drive of ``minutes`` reaches.
 
-    ``radius`` (degrees on both axes) overrides speed and time. The polygon is
+    The edges touch the reach and the corners lie beyond it. ``radius`` (degrees
+    on both axes, from the centre to the corners) overrides speed and time. The polygon is
     GeoJSON text, or the nested form with ``text=False``. Coordinates that are
     not numbers give a NULL polygon.
     """
     if radius is None:
-        degrees = mph * minutes / 60.0 / geometry.MILES_PER_DEGREE
+        # the edges of the octagon, not its corners, must lie beyond the reach
+        degrees = mph * minutes / 60.0 / geometry.MILES_PER_DEGREE / geometry.OCTAGON_INRADIUS
         rx, ry = f"({degrees!r}D / cos(radians(__py)))", f"{degrees!r}D"
     else:
         rx = ry = f"{float(radius)!r}D"

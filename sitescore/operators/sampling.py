@@ -15,8 +15,13 @@ TEST_SHARE = 0.3
 
 
 def key_bucket(key: Column, seed: int) -> Column:
-    """Number in 0..9999 from an integer key; two rounds, so neighbours part."""
-    once = F.pmod(F.pmod(key.cast("bigint"), F.lit(_PRIME)) * _MULTIPLIER + seed, F.lit(_PRIME))
+    """Number in 0..9999 from a key; two rounds, so neighbours part.
+
+    A key that is no whole number counts by the first digits of its MD5.
+    """
+    text = key.cast("string")
+    number = F.coalesce(text.try_cast("bigint"), F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint"))
+    once = F.pmod(F.pmod(number, F.lit(_PRIME)) * _MULTIPLIER + seed, F.lit(_PRIME))
     return F.pmod(F.pmod(once * _MULTIPLIER + seed, F.lit(_PRIME)), F.lit(_STEPS))
 
 

@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="sitescore-"))
     return context.getCheckpointDir()

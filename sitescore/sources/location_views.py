@@ -61,7 +61,7 @@ SELECT c_custkey AS addr_id,
        (c_custkey * 7) % 307 AS pop_f3, (c_custkey * 5) % 401 AS pop_f4,
        (c_custkey * 3) % 503 AS pop_f5, (c_custkey * 11) % 601 AS pop_f6,
        c_acctbal AS pop_f7
-FROM {customer} WHERE c_acctbal >= 0
+FROM {customer}
 """,
     "consumer_spend": """
 SELECT o_custkey AS addr_id,
@@ -79,7 +79,7 @@ SELECT CAST(n_nationkey AS BIGINT) AS code, n_name AS source_file,
        (n_nationkey * 7) % 5 AS ap_f1, (n_nationkey * 11) % 13 AS ap_f2,
        (n_nationkey * 3) % 17 AS ap_f3, (n_nationkey * 5) % 19 AS ap_f4,
        n_nationkey % 3 AS ap_f5, n_nationkey % 4 AS ap_f6, n_regionkey AS ap_f7
-FROM {nation} WHERE n_regionkey < 4
+FROM {nation}
 """,
     "poi": """
 SELECT CAST(floor(p_partkey / 2e0) AS BIGINT) AS addr_id,
@@ -92,7 +92,7 @@ FROM {part}
     "reviews": """
 SELECT user_id AS site_id, count(*) AS review_count,
        1e0 + CAST(sum(event_id) % 9 AS DOUBLE) / 2e0 AS stars
-FROM {events} GROUP BY user_id HAVING count(*) >= 55
+FROM {events} GROUP BY user_id
 """,
     "edges": """
 SELECT c_custkey AS src, (c_custkey * 3 + 1) % (SELECT count(*) FROM {customer}) AS dst,

@@ -100,6 +100,10 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+#: Folder of the rows without a batch id, which readers take as NULL.
+NO_BATCH = "__HIVE_DEFAULT_PARTITION__"
+
+
 def run_in_batches(
     df: DataFrame,
     steps: dict[str, Callable[[DataFrame], DataFrame]],
@@ -120,7 +124,7 @@ def run_in_batches(
     def run(batch: object) -> None:
         current = df.where(F.col(batch_column).eqNullSafe(F.lit(batch))).drop(batch_column)
         for name, step in steps.items():
-            target = f"{folder}/{name}/{batch_column}={batch}"
+            target = f"{folder}/{name}/{batch_column}={NO_BATCH if batch is None else batch}"
             if not _finished(spark, target):
                 step(current).write.mode("overwrite").parquet(target)
             current = spark.read.parquet(target)

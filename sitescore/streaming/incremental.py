@@ -26,12 +26,14 @@ def geofence_incremental(
 
     ``to_sites`` turns file rows into sites with a polygon. Every micro-batch is
     joined by the batch operator, dense cells included, and written to its own
-    ``batch_id`` directory; a batch that is run again after a failure replaces
-    that directory, so no hit is lost or doubled.
+    ``batch_id`` directory, named by the stream (which its checkpoint remembers)
+    and the batch. A batch that is run again after a failure replaces that
+    directory, so no hit is lost or doubled; another stream never does.
     """
 
     def fence(batch: DataFrame, batch_id: int) -> None:
-        geofence(to_sites(batch), fabric).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        geofence(to_sites(batch), fabric).write.mode("overwrite").parquet(f"{out}/batch_id={stream}-{batch_id}")
 
     files = (
         spark.readStream.schema(schema)

@@ -73,6 +73,8 @@ def test_business_counts_joined_rows(spark, shops):
 
 def test_business_reads_each_input_once(spark, shops, tmp_path):
     fabric, poi = shops
+    # long folder names are cut in the plan text otherwise
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     read = {}
     bridge = spark.createDataFrame([(1, 10)], "site_id long, addr_id long")
     for name, df in (("fabric", fabric), ("poi", poi), ("bridge", bridge)):

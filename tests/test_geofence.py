@@ -92,12 +92,24 @@ def test_plan_has_no_theta_join(spark):
 def test_boundary_by_speed_and_bad_coordinates(spark):
     sites = spark.createDataFrame([(1, "0", "60"), (2, "n/a", "1"), (3, None, "1")], "site_id long, x string, y string")
     rows = {r.site_id: r for r in travel_boundary(sites, minutes=6.0, mph=69.0, text=False).withColumns(geometry.polygon_box("polygon")).collect()}
-    assert rows[1].max_y == pytest.approx(60.1) and rows[1].max_x == pytest.approx(0.2)
+    assert rows[1].max_y == pytest.approx(60 + 0.1 / math.cos(math.pi / 8)) and rows[1].max_x == pytest.approx(0.2 / math.cos(math.pi / 8))
     assert rows[2].polygon is None and rows[3].polygon is None
     text = travel_boundary(sites, minutes=6.0, mph=69.0)
     assert text.where("polygon IS NULL").count() == 2
 
 
+def test_boundary_holds_the_reach(spark):
+    """Every point within the reach is inside, in every direction."""
+    sites = spark.createDataFrame([(1, 10.0, 40.0)], "site_id long, x double, y double")
+    reach = 69.0 * 6 / 60 / 69.0
+    points = []
+    for n in range(360):
+        dx, dy = math.cos(math.radians(n)) * reach * 0.999, math.sin(math.radians(n)) * reach * 0.999
+        points.append((n, 10.0 + dx / math.cos(math.radians(40.0)), 40.0 + dy))
+    addresses = spark.createDataFrame(points, "addr_id long, lon double, lat double")
+    assert geofence(travel_boundary(sites, minutes=6.0, mph=69.0, text=False), addresses).count() == 360
+
+
 def test_fence_sizes(spark):
     bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "site_id long, addr_id long")
     assert {tuple(r) for r in fence_sizes(bridge).collect()} == {(1, 2), (2, 1)}

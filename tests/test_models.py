@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sitescore.operators import sampling
 from sitescore.ml import models
 from sitescore.operators.columns import NullPolicy
 from sitescore.sources import tables
@@ -55,14 +56,18 @@ def test_grid_search_log_and_best_run(spark, sets, tmp_path):
     _, train, test = sets
     grid = models.grid_rows(n_estimators=[3, 6], criterion=["mse", "mae"], bootstrap=[True], max_samples=[0.5])
     runs = models.grid_search(train, test, grid)
-    assert runs.count() == 2  # the mae rows have no Spark counterpart
+    rows = runs.collect()
+    assert [r.status for r in rows] == ["finished", "unsupported"] * 2  # no row is lost; Spark trees know no mae
+    assert all(("mape" in r.metrics) == (r.status == "finished") and r.params["scaling"] == "none" for r in rows)
     path = str(tmp_path / "log")
     models.log_runs(runs, path)
-    models.log_runs(runs, path)
+    models.log_runs(models.grid_search(train, test, grid), path)
     log = spark.read.parquet(path)
-    assert log.count() == 4
+    assert log.count() == 8 and log.select("search_id", "run_id").distinct().count() == 8
+    best = models.best_run(log).first()
+    assert best.metrics["mape"] == min(r.metrics["mape"] for r in rows if r.status == "finished")
     flat = runs.select("run_id", F.col("metrics")["mape"].alias("mape"))
-    assert models.best_run(flat).first().mape == min(r.mape for r in flat.collect())
+    assert models.best_run(flat).first().mape == min(r.mape for r in flat.where("mape is not null").collect())
 
 
 def test_final_model(sets):
@@ -151,3 +156,11 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_bridge")
         spark.sql("DROP TABLE bucketed_fabric")
+
+
+def test_split_by_text_keys(spark):
+    rows = spark.createDataFrame([(f"site-{n}", n) for n in range(500)], "site_id string, n long")
+    train, test = sampling.split(rows)
+    assert train.count() + test.count() == 500 and 100 < test.count() < 200
+    numbers = spark.createDataFrame([(n, str(n)) for n in range(300)], "site_id long, text string")
+    assert {r.site_id for r in sampling.split(numbers)[1].collect()} == {r.site_id for r in sampling.split(numbers, key="text")[1].collect()}
