@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from sitescore.llm.components import components
 from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
 
-FOUND = "kind int, doc_id long, row long, n long, node long, key long, tokens binary"
+FOUND = "kind int, doc_id long, row long, n long, node long, key long, part int, need int, tokens binary"
+#: A set sends the cells it compares with its own band, with the next larger one and with the next smaller one.
+SAME, UP, DOWN = 0, 1, 2
 DOCUMENT, MEMBER, SET = 0, 1, 2
 
 
@@ -120,7 +122,7 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
         tokens = tokens[pick]
         band = np.searchsorted(low, size[one], "right") - 1
         whose, keys, part, need = [], [], [], []
-        for number, (shift, cross) in enumerate(((0, False), (0, True), (-1, True))):
+        for number, (shift, cross) in ((SAME, (0, False)), (UP, (0, True)), (DOWN, (-1, True))):
             lower = band + shift
             ok = np.where(lower >= 0, lower, 0)
             w, k, n = _emit(tokens, starts, ok, low, cross, percent)
@@ -137,8 +139,9 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
         ids, row, size, names, one, tokens, starts, whose, keys, part, need, place = state
         order = np.argsort(keys[place])
         shared = flags[order[np.searchsorted(keys[place][order], keys)]] > 0 if len(keys) else np.zeros(0, bool)
+        need = np.maximum(1, need.T.reshape(-1, 3))
         agree = np.bincount(whose[shared] * 3 + part[shared], minlength=3 * len(one)).reshape(-1, 3)
-        enough = agree >= np.maximum(1, need.T.reshape(-1, 3))
+        enough = agree >= need
         member = shared & enough[whose, part]
         held = np.unique(whose[member])
         names = names.view(np.int64)
@@ -154,6 +157,8 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
                 "n": pa.array(np.concatenate((size, size[one][whose[member]], size[one][held])), pa.int64()),
                 "node": pa.array(np.concatenate((names, names[one][whose[member]], names[one][held])), pa.int64()),
                 "key": pa.concat_arrays([pa.nulls(n_doc, pa.int64()), pa.array(keys[member].view(np.int64)), pa.nulls(n_set, pa.int64())]),
+                "part": pa.concat_arrays([pa.nulls(n_doc, pa.int32()), pa.array(part[member], pa.int32()), pa.nulls(n_set, pa.int32())]),
+                "need": pa.concat_arrays([pa.nulls(n_doc, pa.int32()), pa.array(need[whose[member], part[member]], pa.int32()), pa.nulls(n_set, pa.int32())]),
                 "tokens": pa.concat_arrays([blank, sets]),
             }
         )
@@ -198,38 +203,44 @@ def _fits(percent: int):
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
-def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: int) -> DataFrame:
+def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float) -> DataFrame:
     """(node, component) of the sets that link with another one.
 
-    Sets in one cell are not compared each with each. In a round, one set of
+    Sets of one band meet in the cells of that band, sets of neighbouring bands
+    in those between the two. A pair is a candidate if as many cells agree as
+    both sets need. Sets in one cell are not compared each with each. In a round, one set of
     each cell is drawn, and every set is compared with that drawn one with which
     it shares most cells, unless links join the two already. Cells whose sets
-    are all joined are done. When at most ``few`` pairs can be left in the cells,
-    or after ``star_rounds`` rounds, all pairs left are compared, so no link
-    between components is missed.
+    are all joined are done. When the cells left hold at most ``few`` pairs for
+    each of their members, or after ``star_rounds`` rounds, all pairs left are
+    compared, so no link between components is missed.
     """
     spark = found.sparkSession
-    labelled = found.where(F.col("kind") == MEMBER).select("key", "node", "n", F.col("node").alias("component"))
+    labelled = found.where(F.col("kind") == MEMBER).select("key", "part", "need", "node", "n", F.col("node").alias("component"))
     links = tested = spark.createDataFrame([], "a long, b long")
     comps, sets, turn = spark.createDataFrame([], "node long, component long"), None, 0
     while True:
-        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")))
-        spread = F.max("component") > F.min("component")
-        cells_open = labelled.groupBy("key").agg(drawn.alias("s"), spread.alias("open"), F.count("*").alias("held")).where("open")
-        cells_open = cells_open.select("key", "s.a", "s.n_a", "s.c_a", (F.col("held") * (F.col("held") - 1)).alias("pairs"))
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("part").alias("part_a"), F.col("need").alias("need_a")))
+        low, high, up = F.min("part"), F.max("part"), F.count_if(F.col("part") == UP)
+        spread = (F.max("component") > F.min("component")) & ((high == SAME) | (low < high))
+        count = F.count("*")
+        most = F.when(high == SAME, count * (count - 1) / 2).otherwise(up * (count - up))
+        cells_open = labelled.groupBy("key").agg(drawn.alias("s"), spread.alias("open"), count.alias("held"), most.alias("most")).where("open")
+        cells_open = cells_open.select("key", "s.a", "s.n_a", "s.c_a", "s.part_a", "s.need_a", "held", "most")
         labelled = kept(labelled.join(cells_open, "key"), "open")
-        rest = labelled.where("node = a").agg(F.sum("pairs")).first()[0]
+        rest, members = labelled.where("node = a").agg(F.sum("most"), F.sum("held")).first()
         if rest is None:
             break
         if sets is None:
             sets = found.where(F.col("kind") == SET).join(labelled.select("node").distinct(), "node", "left_semi")
             sets = kept(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
-        last = rest <= 2 * few or turn >= star_rounds
-        two = labelled.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a")
+        last = rest <= few * members or turn >= star_rounds
+        two = labelled.select("key", "part", "need", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a", "part_a", "need_a")
         if last:
-            one = labelled.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-            two = two.drop("a", "n_a", "c_a").join(one, "key").where("a < b")
-        pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).groupBy("a", "b").agg(F.count("*").alias("shared"))
+            one = labelled.select("key", *(F.col(c).alias(x) for c, x in (("node", "a"), ("n", "n_a"), ("component", "c_a"), ("part", "part_a"), ("need", "need_a"))))
+            two = two.drop("a", "n_a", "c_a", "part_a", "need_a").join(one, "key").where("a < b")
+        pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).where((F.col("part") == SAME) | (F.col("part") != F.col("part_a")))
+        pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("need", "need_a")).alias("least")).where("shared >= least")
         seen = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = pairs.join(seen, ["a", "b"], "left_anti")
         if not last:
@@ -242,12 +253,12 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: int) -> D
                 comps = kept(components(links), "components")
         if last:
             break
-        labelled = labelled.select("key", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = labelled.select("key", "part", "need", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
     return comps
 
 
-def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: int = 20_000_000) -> DataFrame:
+def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: float = 1.0) -> DataFrame:
     """One row per document: doc_id, row, n_shingles, component_id.
 
     A document's set holds the different shingles of ``width`` words of its
