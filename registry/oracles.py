@@ -189,6 +189,25 @@ FROM asked a LEFT JOIN ({matches}) m ON a.listing_id = m.listing_id"""
 
 _EXACT_ROWS = "SELECT listing_id, k, 'exact' AS precision FROM exact"
 
+# From address text to the features around the address found.
+LOCATED = """located AS (
+SELECT l.listing_id AS site_id, m.k.address_line AS formatted_address, m.k.lon AS x, m.k.lat AS y, l.price, l.size_sqft
+FROM listings l JOIN (SELECT * FROM exact UNION ALL SELECT * FROM near) m ON l.listing_id = m.listing_id)"""
+CHAIN_VIEWS = "listings address_fabric population consumer_spend audience poi reviews"
+CHAIN = (
+    ASKED,
+    KNOWN,
+    EXACT,
+    NEAR,
+    LOCATED,
+    OCTAGON_CTE,
+    _sides("sides", "0.03125e0").replace("FROM sites s", "FROM located s"),
+    FENCE,
+    HOMES.replace("geofence_bridge b", "fence b"),
+    *RES_CTES,
+    _shop_points("fence"),
+)
+
 # All ways of a source within the budget.
 WAYS = """ways(source, node, minutes, miles) AS (
 SELECT DISTINCT {start}, {start}, 0e0, 0e0 FROM {origin}
@@ -490,4 +509,16 @@ GROUP BY run_id, weight ORDER BY round({_MAPE}, 9), run_id LIMIT 1""",
         "site_bridge AS (SELECT b.* FROM geofence_bridge b JOIN sites s ON b.site_id = s.site_id WHERE s.is_candidate)",
         _SALES.format(bridge="site_bridge"),
     ),
+    # the whole way from address text
+    "matrix_from_listings": sql(CHAIN_VIEWS, "SELECT s.*, r.* EXCLUDE (site_id) FROM shops s JOIN res r ON s.site_id = r.site_id", *CHAIN),
+    "ranking_from_listings": sql(
+        CHAIN_VIEWS,
+        f"""SELECT site_id, round(2e0 * {_scaled('stars_score')} + 1e0 * {_scaled('median_sales_volume_local')} - 2e0 * {_scaled('price')} + 0.5e0 * {_scaled('size_sqft')} + 1e-9, 6) AS score,
+       stars_score, median_sales_volume_local, price, size_sqft, formatted_address, round(x + 1e-9, 6) AS x, round(y + 1e-9, 6) AS y
+FROM (SELECT l.*, c.stars AS stars_score, m.median_sales_volume_local
+      FROM located l JOIN reviews c ON l.site_id = c.site_id LEFT JOIN sales m ON l.site_id = m.site_id
+      WHERE l.site_id IN (SELECT s.site_id FROM shops s JOIN res r ON s.site_id = r.site_id)) t""",
+        *CHAIN,
+        _SALES.format(bridge="fence"),
+    ),
 }

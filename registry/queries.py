@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 RADIUS = 0.03
 HOLE_RADIUS = 0.01
+REACH = 0.03125
 BRAND = "Brand#2"
 GROUP = "ECONOMY"
 EXTRA_SPEND = ["ce_urgent", "ce_high"]
@@ -810,3 +811,34 @@ def site_ranking(t):
     model, fixed, candidates = _final_model(t)
     attributes = candidate_sites(t).select("site_id", "price", "size_sqft")
     return site_selection.rank_candidates(model, fixed, candidates, attributes, median_local_sales(t))
+
+
+# -- the whole way from address text -----------------------------------------
+
+
+def located(t: LocationTables) -> DataFrame:
+    """Listings whose address was found, as sites at that address."""
+    coded = columns.expand(geocode.geocode(t["listings"], t["address_fabric"], fuzzy=True), "geocode_result")
+    return cut_lineage(coded.select(F.col("listing_id").alias("site_id"), "formatted_address", "x", "y", "price", "size_sqft"))
+
+
+def located_bridge(t: LocationTables, sites: DataFrame) -> DataFrame:
+    return geofence.geofence(geofence.travel_boundary(sites, radius=REACH), t["address_fabric"])
+
+
+@query
+def matrix_from_listings(t):
+    """Features of every located listing, from its address text on."""
+    return site_features(t).matrix(located_bridge(t, located(t)))
+
+
+@query
+def ranking_from_listings(t):
+    """Located listings with features, by review stars, sales around them, price and size."""
+    sites = located(t)
+    around = cut_lineage(located_bridge(t, sites))
+    described = columns.keep_keys(sites, site_features(t).matrix(around), "site_id")
+    stars = t["reviews"].select("site_id", F.col("stars").alias("stars_score"))
+    sales = features.local_sales(around, t["address_fabric"], t["poi"])
+    metrics = described.select("site_id", "price", "size_sqft").join(stars, on="site_id").join(sales, on="site_id", how="left")
+    return rank.with_attributes(rank.combined_score(metrics), sites.select("site_id", "formatted_address", "x", "y"), "score")

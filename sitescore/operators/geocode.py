@@ -61,10 +61,16 @@ def geocode(
             signature = edit_signatures(F.col("__block"), F.col("__line"), max_edits)
             return spread(frame, *keys).select(F.col("__line").alias(line), "__block", *others, F.explode(signature).alias("__sign"))
 
+        # Spellings differ in length by the edits at most: other addresses need no signatures.
+        size = F.length("__line")
+        sizes = F.explode(F.sequence(size - max_edits, size + max_edits)).alias("__size")
+        in_reach = open_questions.select("__block", sizes).distinct()
+        possible = known.withColumn("__size", size).join(in_reach, on=["__block", "__size"], how="left_semi")
+
         # Many signatures per address: only what the comparison needs goes through the join.
         near = (
             signed(open_questions, "__asked")
-            .join(signed(known, "__known", "addr_id"), on=["__sign", "__block"])
+            .join(signed(possible, "__known", "addr_id"), on=["__sign", "__block"])
             .withColumn("__edits", F.levenshtein("__asked", "__known", max_edits))
             .where(F.col("__edits") >= 0)
             .select("__asked", "__block", "__edits", "addr_id", "__known")
