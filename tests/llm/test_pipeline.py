@@ -37,3 +37,18 @@ def test_stages_keep_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).columns == docs.columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == 0
+
+
+def test_near_stage_takes_five_words_and_four_fifths(spark):
+    """Scattered changes that leave 0.8 on five words, though less than 0.85 on four."""
+    rows = []
+    for n, (size, changes) in enumerate([(100, 2), (150, 3), (500, 11), (1000, 21), (1000, 22), (100, 3)]):
+        words = [f"w{n}x{k}" for k in range(size)]
+        rows.append((2 * n, " ".join(words), "en", "s", 0, 0, "", "", 0.0))
+        for c in range(changes):
+            words[(2 * c + 1) * size // (2 * changes)] = f"other{c}"
+        rows.append((2 * n + 1, " ".join(words), "en", "s", 0, 0, "", "", 0.0))
+    five, four = ref.near(rows, 5, 80), ref.near(rows, 4, 85)
+    assert all(c == d for d, (_, c) in four.items()) and sum(c != d for d, (_, c) in five.items()) == 5
+    left = corpus_pipeline.near(spark, spark.createDataFrame(rows, ref.SCHEMA), FOLDER)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, (_, c) in five.items() if c == d)
