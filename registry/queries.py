@@ -758,11 +758,13 @@ def model_comparison(t):
     return models.compare({kind: models.fit(kind, train) for kind in ("dt", "rf", "gbt")}, test)
 
 
-@query
-def grid_search(t):
+def searched(t: LocationTables) -> DataFrame:
+    """The log of the search over the whole grid."""
     _, train, test = prepared(t)
-    grid = models.grid_rows(n_estimators=[10, 20], criterion=["mse", "mae"], bootstrap=[True], max_samples=[0.3, 0.9])
-    runs = models.grid_search(train, test, grid)
+    return models.grid_search(train, test, models.grid_rows(**models.GRID))
+
+
+def _flat_runs(runs: DataFrame) -> DataFrame:
     return runs.select(
         "run_id",
         "status",
@@ -771,6 +773,17 @@ def grid_search(t):
     )
 
 
+@query
+def grid_search(t):
+    return _flat_runs(searched(t))
+
+
+@query
+def best_grid_run(t):
+    """The best run of the log of the whole grid."""
+    return _flat_runs(models.best_run(searched(t)))
+
+
 @query
 def best_run(t):
     """The best of five baselines that shrink batch means towards the overall mean."""

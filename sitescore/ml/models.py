@@ -31,6 +31,9 @@ GRID = {
     "max_samples": [(i + 1) * 0.1 for i in range(9)],
 }
 
+#: Trees of a forest that names no number, as in Spark.
+DEFAULT_TREES = 20
+
 _FOREST_PARAMS = {"n_estimators": "numTrees", "bootstrap": "bootstrap", "max_samples": "subsamplingRate", "max_depth": "maxDepth"}
 
 
@@ -144,32 +147,55 @@ def grid_search(
     seed: int = SEED,
     scaling: str = "none",
 ) -> DataFrame:
-    """Fit a forest per parameter row and return the run log.
-
-    Each fit is a Spark job over the distributed rows; ``parallelism`` of them
-    run at a time. Spark trees know the variance criterion only: rows that ask
-    for another one come back as ``unsupported`` with NULL metrics. ``search_id``
+    """Measure a forest for each parameter row and return the run log.
+
+    Rows that differ in ``n_estimators`` only share one fit of the largest
+    number: its first k trees are a forest of k, as trees are drawn
+    independently, and all k are measured in one pass over the test rows. Each
+    fit is a Spark job over the distributed rows; ``parallelism`` of them run at
+    a time. Spark trees know the variance criterion only: rows that ask for
+    another one come back as ``unsupported`` with NULL metrics. ``search_id``
     tells searches apart in one log.
     """
     spark = train.sparkSession
     search_id = uuid.uuid4().hex
     wanted = [dict(p) for p in grid]
-
-    def run(numbered: tuple[int, dict[str, object]]) -> tuple:
-        run_id, params = numbered
+    shared: dict[tuple, list[tuple[int, int]]] = {}
+    for run_id, params in enumerate(wanted):
+        if params.get("criterion", "mse") == "mse":
+            known = {k: v for k, v in params.items() if k in _FOREST_PARAMS}
+            trees = known.pop("n_estimators", DEFAULT_TREES)
+            # a single tree splits on all features, the trees of a forest on a third of them
+            shared.setdefault((trees == 1, *sorted(known.items())), []).append((run_id, trees))
+
+    def run(group: tuple[tuple, list[tuple[int, int]]]) -> list[tuple[int, dict[str, float]]]:
+        (_, *known), runs = group
+        model = fit("rf", train, label, {**dict(known), "n_estimators": max(k for _, k in runs)}, seed)
+        found = {r["trees"]: r for r in first_trees_metrics(model, test, sorted({k for _, k in runs}), label).collect()}
+        return [(run_id, {m: found[k][m] for m in ("rmse", "mape", "mae")} if k in found else {}) for run_id, k in runs]
+
+    measured: dict[int, dict[str, float]] = {}
+    if shared:
+        with ThreadPool(max(1, min(parallelism, len(shared)))) as pool:
+            for part in pool.map(inheritable_thread_target(spark)(run), list(shared.items()), chunksize=1):
+                measured.update(part)
+    rows = []
+    for run_id, params in enumerate(wanted):
         tags = {k: str(v) for k, v in {**params, "model type": "randomForestRegressor", "scaling": scaling}.items()}
-        if params.get("criterion", "mse") != "mse":
-            return search_id, run_id, "unsupported", tags, {}
-        known = {k: v for k, v in params.items() if k in _FOREST_PARAMS}
-        model = fit("rf", train, label, known, seed)
-        row = metrics(model.transform(test), label).first()
-        return search_id, run_id, "finished", tags, {k: row[k] for k in ("rmse", "mape", "mae")}
-
-    with ThreadPool(max(1, min(parallelism, len(wanted)))) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(run), list(enumerate(wanted)))
+        rows.append((search_id, run_id, "finished" if run_id in measured else "unsupported", tags, measured.get(run_id, {})))
     return spark.createDataFrame(rows, "search_id string, run_id int, status string, params map<string,string>, metrics map<string,double>")
 
 
+def first_trees_metrics(model: Model, rows: DataFrame, counts: Sequence[int], label: str = "stars") -> DataFrame:
+    """(trees, rmse, mape, mae) of the forests made of the first k trees of ``model``, in one pass over ``rows``."""
+    names = [f"__tree{n}" for n in range(model.getNumTrees)]
+    for name, tree in zip(names, model.trees):
+        rows = tree.setPredictionCol(name).transform(rows)
+    rows = rows.select(F.col(label).alias("y"), F.array(*names).alias("each")).withColumn("trees", F.explode(F.lit(list(counts))))
+    total = F.aggregate(F.slice("each", 1, F.col("trees")), F.lit(0.0), lambda x, y: x + y)
+    return metrics(rows.select("trees", "y", (total / F.col("trees")).alias("p")), "y", "p", by=["trees"])
+
+
 def log_runs(runs: DataFrame, path: str) -> None:
     """Append runs to the log; (search_id, run_id) is the key."""
     runs.select("search_id", "run_id", "status", "params", "metrics").write.mode("append").parquet(path)

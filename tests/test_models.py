@@ -70,6 +70,38 @@ def test_grid_search_log_and_best_run(spark, sets, tmp_path):
     assert models.best_run(flat).first().mape == min(r.mape for r in flat.where("mape is not null").collect())
 
 
+def test_search_shares_fits_and_keeps_rows(spark, sets, monkeypatch):
+    _, train, test = sets
+    fits, fit = [], models.fit
+    monkeypatch.setattr(models, "fit", lambda *a, **k: fits.append(fit(*a, **k)) or fits[-1])
+    grid = models.grid_rows(n_estimators=[1, 2, 5, 7], criterion=["mse", "mae"], bootstrap=[True], max_samples=[0.4])
+    rows = models.grid_search(train, test, grid).orderBy("run_id").collect()
+    assert len(rows) == 8 and sorted(f.getNumTrees for f in fits) == [1, 7]
+    one, many = sorted(fits, key=lambda f: f.getNumTrees)
+    labelled = [(r.stars, r.features) for r in test.collect()]
+    for r in rows:
+        k = int(r.params["n_estimators"])
+        assert r.status == ("finished" if r.params["criterion"] == "mse" else "unsupported")
+        if r.status == "finished":
+            trees = one.trees if k == 1 else many.trees[:k]
+            errors = [abs(y - sum(t.predict(v) for t in trees) / k) for y, v in labelled]
+            assert r.metrics["mae"] == pytest.approx(sum(errors) / len(errors))
+    whole = models.metrics(many.transform(test)).first()
+    assert all(rows[-2].metrics[m] == pytest.approx(whole[m]) for m in ("rmse", "mape", "mae"))
+
+
+def test_registered_search_covers_the_grid(spark):
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.001"
+    rows = entry.queries()["grid_search"](spark, folder).collect()
+    assert {(r.n_estimators, r.criterion, r.max_samples) for r in rows} == {tuple(str(p[k]) for k in ("n_estimators", "criterion", "max_samples")) for p in models.grid_rows(**models.GRID)}
+    assert len(rows) == 720 and sum(r.status == "finished" for r in rows) == 360
+    assert all((r.mape is not None) == (r.status == "finished") for r in rows)
+    best = entry.queries()["best_grid_run"](spark, folder).first()
+    assert best.mape == min(r.mape for r in rows if r.mape is not None)
+
+
 def test_final_model(sets):
     _, train, test = sets
     model, held_out = models.train_final(train, test)
