@@ -22,8 +22,18 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = frozenset("script style noscript template svg head title iframe object select textarea canvas math".split())
+#: Elements whose inside is text and not tags; an open one runs to the end of the page.
+RAW = frozenset("script style title textarea iframe noscript".split())
+#: Other elements that show no text of the page; an open one ends with the element around it.
+HIDDEN = frozenset("template svg object select canvas".split())
+#: What may stand in ``head``; any other tag ends it, and so does text.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Formulas are read as part of the line they stand in; cells of a formula are set apart.
+MATH = frozenset("math maction annotation annotation-xml menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms msqrt mstyle msub msubsup msup mtable mtext munder munderover none semantics".split())
+INLINE |= MATH
+#: Blocks that are no part of a hidden element left open: they end it.
+BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup li main menu nav ol p pre section summary table tbody td th tr ul".split())
 
 
 class Block:
@@ -33,14 +43,52 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+def raw_end(page: str, tag: str, at: int) -> int:
+    """Where the raw text of an element ends that begins at ``at``."""
+    close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+    return close.end() if close else len(page)
+
+
+def left_open(page: str) -> set[int]:
+    """Where hidden elements begin that have no closing tag of their own."""
+    open_at: dict[str, list[int]] = {}
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if m[1]:
+            if open_at.get(tag):
+                open_at[tag].pop()
+        elif m[2] and not m[3].rstrip().endswith("/"):
+            if tag in RAW:
+                at = raw_end(page, tag, at)
+            elif tag in HIDDEN:
+                open_at.setdefault(tag, []).append(m.start())
+    return {n for places in open_at.values() for n in places}
+
+
 def leaf_blocks(page: str) -> list[Block]:
-    """Blocks in page order: tags above (as tag and tag.name), text with single spaces, letters inside links."""
+    """Blocks in page order: tags above (as tag and tag.name), text with single spaces, letters inside links.
+
+    ``head`` may be left open; the first tag or text that cannot stand in it
+    ends it. A hidden element ends with its closing tag or with the element
+    around it, and one without a closing tag also where the next block begins.
+    """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     linked = 0
     place: tuple[str, ...] = ()
     links = 0
+    head = False
+    # hidden elements on the stack: their place, and whether a block ends them
+    veils: list[tuple[int, bool]] = []
+    loose: set[int] | None = None
+
+    def cut(n: int) -> None:
+        del stack[n:]
+        while veils and veils[-1][0] >= n:
+            veils.pop()
 
     def path_now() -> tuple[str, ...]:
         return tuple(label for tag, label in stack if tag not in INLINE)
@@ -57,7 +105,9 @@ def leaf_blocks(page: str) -> list[Block]:
     while at < size:
         m = TOKEN.search(page, at)
         stop = m.start() if m else size
-        if stop > at:
+        if head and page[at:stop].strip():
+            head = False
+        if stop > at and not veils:
             if not parts:
                 place = path_now()
             parts.append(page[at:stop])
@@ -69,25 +119,47 @@ def leaf_blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
-        if tag in HIDDEN:
-            if tag not in INLINE:
-                flush()
+        if tag == "head":
+            flush()
+            head = not m[1]
+            continue
+        if head and tag not in HEAD and tag != "html" and (not m[1] or tag in ("body", "br")):
+            head = False
+        if tag in RAW or (head and tag == "noframes"):
+            flush()
             if not m[1] and not m[3].rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                if tag == "head" and not close:
-                    close = re.compile(r"(?=<body)", re.I).search(page, at)
-                at = close.end() if close else size
+                at = raw_end(page, tag, at)
+            continue
+        if tag in ("mtr", "mtd", "mspace"):
+            if parts:
+                parts.append(" ")
             continue
         if tag == "br":
-            parts.append(" ")
+            if not veils:
+                parts.append(" ")
             continue
         if tag not in INLINE:
             flush()
+        if tag in BLOCKS and not m[1]:
+            for n, ends in veils:
+                # a block leaves a drawing, but for the parts of it that hold blocks
+                if ends or (stack[n][0] == "svg" and not any(t in ("foreignobject", "desc") for t, _ in stack[n:])):
+                    cut(n)
+                    break
         if m[1]:
             for n in range(len(stack) - 1, -1, -1):
                 if stack[n][0] == tag:
-                    del stack[n:]
+                    veiled = len(veils)
+                    cut(n)
+                    if len(veils) < veiled:
+                        flush()
+                        links = sum(t == "a" for t, _ in stack)
                     break
+        elif tag in HIDDEN:
+            if not m[3].rstrip().endswith("/"):
+                loose = left_open(page) if loose is None else loose
+                veils.append((len(stack), m.start() in loose))
+                stack.append((tag, tag))
         elif tag not in VOID and not m[3].endswith("/"):
             if tag not in INLINE:
                 # a paragraph or list item left open ends where the next block begins

@@ -346,6 +346,31 @@ def test_html_cases(spark):
     assert [r.text for r in out[:3]] == [html_text.main_text(page, field)] * 2 + [""]
 
 
+def test_html_elements_left_open():
+    """No text behind an element that is left open is lost, and math is text."""
+    lines = lambda page: [b.text for b in html_text.leaf_blocks(page)]
+    assert lines("<head><title>t</title><p>article") == ["article"]
+    assert lines("<html><head><meta charset=u><title>t</title>bare <b>text</b>") == ["bare text"]
+    assert lines("<head><template><i>no</i></template><style>p{}</style><body><p>a</p>") == ["a"]
+    assert lines("<head><noframes><p>no</p></noframes></head><p>a</p><p>b</p>") == ["a", "b"]
+    for tag in ("svg", "select", "object", "canvas", "template"):
+        assert lines(f"<article><p>a<{tag}><i>no</i><p>b</p><p>c</p></article><p>d") == ["a", "b", "c", "d"], tag
+        assert lines(f"<article><div>a<{tag}>no</div>b<p>c</p></article>") == ["a", "b", "c"], tag
+        assert lines(f"<div><span><{tag}>no</span>b</div>") == ["b"], tag
+        assert lines(f"<p>a<{tag}>no<{tag}>no</{tag}>no</{tag}>b</p>") == ["a", "b"], tag
+        assert lines(f"<p>a<{tag}>no<p>b<{tag}><i>no</i></{tag}>c</p>") == ["a", "b", "c"], tag
+        assert lines(f"<p>a<{tag} />b</p>") == ["a", "b"], tag
+    for tag in ("select", "object", "canvas", "template"):
+        assert lines(f"<div>a<{tag}><script>'<{tag}>'</script><p>no</p></{tag}>b</div>") == ["a", "b"], tag
+    assert lines("<p>a<svg><foreignObject><div>no</div></foreignObject></svg>b</p>") == ["a", "b"]
+    assert lines("<p>a<script>no<p>no") == ["a"] and lines("<p>a<title>no</title >b") == ["a", "b"]
+    assert lines("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>") == ["so x=2 holds."]
+    assert lines("<p>so <math><mi>x</mi> holds.</p><p>b") == ["so x holds.", "b"]
+    field = html_text.trained_field(100)
+    page = "<html><head><title>T</title></head><body><nav><a href='/'>Home</a></nav><article><h1>A</h1><p>First line, said at length.</p><p>Second one, also long.</p></article></body></html>"
+    assert html_text.main_text(page.replace("</head><body>", ""), field) == html_text.main_text(page, field) != ""
+
+
 def test_viterbi_is_the_best_path():
     field = html_text.trained_field(60)
     rng = random.Random(1)
