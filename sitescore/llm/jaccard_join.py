@@ -258,6 +258,58 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float) ->
     return comps
 
 
+def _documents(found: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """One row per document: doc_id, row, n, node and component_id, for the components of the sets."""
+    rows = found.where(F.col("kind") == DOCUMENT).select("doc_id", "row", "n", "node")
+    least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    least = least.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = kept(least, "classes")
+    whole = kept(least.groupBy("component").agg(F.min("least").alias("whole")), "classes")
+    least = kept(least.join(whole, "component").select("node", F.col("whole").alias("least")), "classes")
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return rows.join(least, "node", "left").withColumn("component_id", component).drop("least")
+
+
+def set_links(found: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """(a, b) of all pairs of different sets that link, a < b, whether other links join them or not.
+
+    The sets of a cell are dealt over blocks of about ``block``, and each pair
+    of blocks is a key of its own, so a cell of any size is spread over tasks.
+    A pair is a candidate if as many cells agree as both sets need.
+    """
+    members = found.where(F.col("kind") == MEMBER).select("key", "part", "need", "node", "n").distinct()
+    held = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("held")).where("held > 1")
+    members = members.join(held.drop("held"), "key").withColumn("mine", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
+    members = kept(members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "members")
+    names = (("node", "{}"), ("n", "n_{}"), ("part", "part_{}"), ("need", "need_{}"))
+    one, two = (members.select("key", lo.alias("lo"), hi.alias("hi"), *(F.col(c).alias(x.format(side)) for c, x in names)) for side, lo, hi in (("a", F.col("mine"), F.col("other")), ("b", F.col("other"), F.col("mine"))))
+    pairs = one.where("lo <= hi").join(two.where("lo <= hi"), ["key", "lo", "hi"])
+    pairs = pairs.where("a <> b and (lo < hi or a < b)").where(_fits(percent)).where((F.col("part_a") == SAME) | (F.col("part_a") != F.col("part_b")))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.greatest("need_a", "need_b").alias("need"))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("need").alias("least")).where("shared >= least")
+    sets = found.where(F.col("kind") == SET).groupBy("node").agg(F.first("tokens").alias("tokens"))
+    return kept(_verified(kept(pairs.select("a", "b"), "pairs"), kept(sets, "sets"), percent), "links")
+
+
+def near_links(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, block: int = 256) -> DataFrame:
+    """The rows of :func:`near_copies` with n_links, the number of other documents that link with each.
+
+    All links between different sets are found and verified, also inside a
+    component, so time and space grow with the number of links between different
+    sets. Documents with equal sets link and are only counted.
+    """
+    found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
+    links = set_links(found, percent, block)
+    classes = _documents(found, kept(components(links), "components"))
+    held = classes.where("n > 0").groupBy("node").agg(F.count("*").alias("held"))
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    far = both.join(held.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("held").alias("far"))
+    number = held.join(far, held["node"] == far["a"], "left").select("node", (F.col("held") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    out = classes.join(number, "node", "left")
+    n_links = F.when(F.col("n") > 0, F.col("n_links")).otherwise(0)
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id", n_links.alias("n_links"))
+
+
 def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: float = 1.0) -> DataFrame:
     """One row per document: doc_id, row, n_shingles, component_id.
 
@@ -270,16 +322,8 @@ def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     component has no other.
     """
     found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
-    comps = linked_sets(found, percent, star_rounds, few)
-    rows = found.where(F.col("kind") == DOCUMENT).select("doc_id", "row", "n", "node")
-    least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    least = least.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = kept(least, "classes")
-    whole = kept(least.groupBy("component").agg(F.min("least").alias("whole")), "classes")
-    least = kept(least.join(whole, "component").select("node", F.col("whole").alias("least")), "classes")
-    out = rows.join(least, "node", "left")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = _documents(found, linked_sets(found, percent, star_rounds, few))
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20) -> DataFrame:

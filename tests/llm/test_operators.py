@@ -13,7 +13,7 @@ from sitescore.llm import automata, html_text, secret_scan, warc
 from sitescore.llm.components import components
 from sitescore.llm.decontamination import Search, find_benchmark
 from sitescore.llm.exact_dedup import drop_copies, exact_dedup
-from sitescore.llm.jaccard_join import bands, cells, drop_near_copies, near_copies
+from sitescore.llm.jaccard_join import bands, cells, drop_near_copies, near_copies, near_links
 from sitescore.llm.kit import ship
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.mixing import mix_sources, targets
@@ -129,6 +129,40 @@ def test_jaccard_join(docs, rows, options):
     assert len({c for _, c in want.values()}) < len(rows) - 10
 
 
+def link_counts(rows, width, percent):
+    """How many other rows each row links with, by brute force."""
+    sets = []
+    for _, text, *_ in rows:
+        words = ref.WORD.findall(ref.lowered(text))
+        sets.append({tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))} if words else set())
+    return [sum(i != j and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)) if a else 0 for i, a in enumerate(sets)]
+
+
+def family(n, size=120, first=0):
+    """Texts that differ in one place each, so that all pairs link."""
+    words = [f"w{first}x{k}" for k in range(size)]
+    texts = [" ".join([*words[: 6 * k], f"other{k}", *words[6 * k + 1 :]]) for k in range(n)]
+    return [(first + k, t, None, None, 0, 0, "", "", 0.0) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_jaccard_links(docs, rows, spark, block):
+    """All links are found, also those inside a component."""
+    more = family(18, first=10_000)
+    more += [(20_000 + r[0], r[1].upper(), *r[2:]) for r in more[:3]]
+    got = near_links(docs.unionAll(spark.createDataFrame(more, ref.SCHEMA)), chunk_bytes=6000, block=block).collect()
+    both = [*rows, *more]
+    want = {r[0]: n for r, n in zip(both, link_counts(both, 4, 85))}
+    assert {r.doc_id: r.n_links for r in got} == want and want[10_000] == 20
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == ref.near(both, 4, 85)
+
+
+def test_jaccard_links_ties(awkward, empty):
+    got = [(r.doc_id, r.component_id, r.n_links) for r in near_links(awkward, chunk_bytes=200).collect()]
+    assert sorted(got, key=str) == sorted([(None, 7, 4), (None, 7, 4), (7, 7, 4), (7, 7, 4), (7, 7, 0), (8, 8, 0), (None, None, 0), (9, 7, 4)], key=str)
+    assert near_links(empty).count() == 0
+
+
 def test_jaccard_small_sets(spark):
     """Sets of a few shingles, where cells are often empty."""
     rng = random.Random(4)
