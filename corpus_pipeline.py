@@ -9,7 +9,7 @@ from sitescore.llm.decontamination import find_benchmark
 from sitescore.llm.exact_dedup import drop_copies
 from sitescore.llm.jaccard_join import drop_near_copies
 from sitescore.llm.kit import kept, ship, table
-from sitescore.llm.language_id import UNKNOWN, identify
+from sitescore.llm.language_id import UNKNOWN, has_letters, held_out, identify
 from sitescore.llm.mixing import mix_sources
 
 
@@ -17,7 +17,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: a null text or one without letters."""
     ship(spark)
     found = identify(docs)
-    return found.where(F.col("__language.lang_pred") != UNKNOWN).drop("__language")
+    known = F.col("__language.lang_pred") != UNKNOWN
+    if docs.where(~held_out()).where("lang is not null and text is not null").isEmpty():
+        # nothing was learned, so no text has a language; only those that cannot have one go
+        found = found.withColumn("__letters", has_letters(F.col("text")))
+        known = F.col("__letters")
+    return found.where(known).drop("__language", "__letters")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

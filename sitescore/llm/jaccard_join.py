@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitescore.llm.components import components
@@ -259,15 +259,18 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float) ->
 
 
 def _documents(found: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """One row per document: doc_id, row, n, node and component_id, for the components of the sets."""
+    """One row per document: doc_id, row, n, node, component and component_id, for the components of the sets.
+
+    ``component`` names the component, also where ids are null or repeated; it is null without words.
+    """
     rows = found.where(F.col("kind") == DOCUMENT).select("doc_id", "row", "n", "node")
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     least = least.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = kept(least, "classes")
     whole = kept(least.groupBy("component").agg(F.min("least").alias("whole")), "classes")
-    least = kept(least.join(whole, "component").select("node", F.col("whole").alias("least")), "classes")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return rows.join(least, "node", "left").withColumn("component_id", component).drop("least")
+    least = kept(least.join(whole, "component").select("node", "component", F.col("whole").alias("least")), "classes")
+    component_id = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return rows.join(least, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.col("component"))).withColumn("component_id", component_id).drop("least")
 
 
 def set_links(found: DataFrame, percent: int, block: int = 256) -> DataFrame:
@@ -326,8 +329,26 @@ def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20) -> DataFrame:
-    """``docs`` with, of each component, the rows whose id is the smallest one; all columns kept."""
-    found = near_copies(docs, width, percent, chunk_bytes)
-    gone = kept(found.where("not (doc_id <=> component_id)").select(F.col("row").alias("__row")).distinct(), "gone")
-    return docs.join(gone, row_key() == F.col("__row"), "left_anti")
+def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: float = 1.0) -> DataFrame:
+    """``docs`` with one row of each component, all columns kept.
+
+    The row with the smallest id stays, null only if there is no other, ties by
+    the row key; of rows that repeat that id and text, one by its whole content.
+    Rows without words link with nothing and stay.
+    """
+    found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
+    rows = _documents(found, linked_sets(found, percent, star_rounds, few)).where("component is not null")
+    rows = kept(rows.groupBy("component", "row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("held")), "rows")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    best = rows.groupBy("component").agg(F.min(order).alias("best")).select("component", F.col("best.row").alias("best"))
+    gone = kept(rows.join(best, "component").where("row <> best").select(F.col("row").alias("__row")), "gone")
+    left = docs.join(gone, row_key() == F.col("__row"), "left_anti")
+    again = kept(rows.where("held > 1").join(best, "component").where("row = best").select(F.col("row").alias("__row")), "again")
+    if again.isEmpty():
+        return left
+    content = F.xxhash64(F.to_json(F.struct(*docs.columns)))
+    place = F.row_number().over(Window.partitionBy("__key").orderBy(content))
+    keyed = left.withColumn("__key", row_key())
+    single = keyed.join(again, F.col("__key") == F.col("__row"), "left_anti")
+    repeats = keyed.join(again, F.col("__key") == F.col("__row"), "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
+    return single.unionAll(repeats).drop("__key")

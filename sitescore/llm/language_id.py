@@ -138,6 +138,15 @@ def predictor(prototypes: dict[str, list[float]], seed: int = 7) -> Callable[[Co
     return predict.asNondeterministic()
 
 
+def has_letters(text: Column) -> Column:
+    """Whether a text has a letter, whatever was learned; null has none."""
+
+    def letters(texts: pa.Array) -> pa.Array:
+        return pa.array([t is not None and any(map(str.isalpha, t)) for t in texts.to_pylist()], pa.bool_())
+
+    return F.arrow_udf(letters, "boolean").asNondeterministic()(text)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Every fifth document by the CRC-32 of its id; a null id is not held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))

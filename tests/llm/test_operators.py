@@ -163,6 +163,20 @@ def test_jaccard_links_ties(awkward, empty):
     assert near_links(empty).count() == 0
 
 
+def test_drop_near_copies_ties(spark, awkward):
+    """One row of each component stays, whatever its ids."""
+    long = [f"w{n}" for n in range(60)]
+    other = " ".join([*long[:-1], "x"])
+    texts = [(7, " ".join(long)), (7, other), (None, "a b c d e"), (None, "A b c d e"), (None, "a b c d e"), (5, "..."), (None, ""), (None, "")]
+    frame = spark.createDataFrame([(d, t, None, None, 0, 0, "", str(k), 0.0) for k, (d, t) in enumerate(texts)], ref.SCHEMA)
+    left = drop_near_copies(frame)
+    assert left.columns == frame.columns
+    got = [r.doc_id for r in left.where("text <> ''").collect()]
+    assert sorted(got, key=str) == [5, 7, None] and left.where("text = ''").count() == 2
+    # of the awkward rows: one of the long texts, "other" and the two without text
+    assert sorted((str(r.doc_id), (r.text or "")[:2]) for r in drop_near_copies(awkward).collect()) == [("7", "ot"), ("7", "w0"), ("8", ""), ("None", "")]
+
+
 def test_jaccard_small_sets(spark):
     """Sets of a few shingles, where cells are often empty."""
     rng = random.Random(4)

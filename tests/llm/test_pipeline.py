@@ -52,3 +52,12 @@ def test_near_stage_takes_five_words_and_four_fifths(spark):
     assert all(c == d for d, (_, c) in four.items()) and sum(c != d for d, (_, c) in five.items()) == 5
     left = corpus_pipeline.near(spark, spark.createDataFrame(rows, ref.SCHEMA), FOLDER)
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, (_, c) in five.items() if c == d)
+
+
+def test_language_stage_without_labels(spark):
+    """Nothing to learn from: only texts without letters go."""
+    texts = [(1, "some words"), (2, None), (3, "12 .. !"), (None, "\u00e9"), (4, "")]
+    frame = spark.createDataFrame([(d, t, None, "s", 0, 0, "", "", 0.0) for d, t in texts], ref.SCHEMA)
+    left = corpus_pipeline.language(spark, frame, FOLDER)
+    assert left.columns == frame.columns
+    assert {r.text for r in left.collect()} == {"some words", "\u00e9"}
