@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
-from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -60,14 +59,17 @@ class FeatureList:
         return vectors.select(self.key, *[F.col(c).cast("double") for c in has_label], "features")
 
 
-def steady(df: DataFrame, key: str = "site_id", rows_per_task: int = 10_000) -> DataFrame:
-    """Written rows in an order that depends on the keys and their number only.
+#: Tasks of a fit. Part of the seed: another number draws other samples.
+FIT_PARTITIONS = 16
+
+
+def steady(df: DataFrame, key: str = "site_id", partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Written rows in an order that depends on the keys and ``partitions`` only.
 
     Bagging draws by partition and row, so a fixed seed repeats itself only on a
-    fixed layout. Also saves the fits from computing the features again; a fit
-    is many short jobs, so small sets get few tasks.
+    fixed layout; the number of rows does not change it. Give more partitions
+    for many rows. Also saves the fits from computing the features again.
     """
-    partitions = max(1, ceil(df.count() / rows_per_task))
     return cut_lineage(df.repartition(partitions, key).sortWithinPartitions(key))
 
 

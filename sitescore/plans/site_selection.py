@@ -48,12 +48,12 @@ class SiteFeatures:
         return features.training_matrix(shops, self.residential(narrow, hot))
 
 
-def prepare(matrix: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> tuple[models.FeatureList, DataFrame, DataFrame]:
-    """(feature list, train vectors, test vectors), written in a steady order."""
+def prepare(matrix: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED, partitions: int = models.FIT_PARTITIONS) -> tuple[models.FeatureList, DataFrame, DataFrame]:
+    """(feature list, train vectors, test vectors), written in a steady order over ``partitions``."""
     rows = cut_lineage(matrix)
     fixed = models.FeatureList.fit(rows)
     train, test = split(rows, test_share, seed)
-    return fixed, models.steady(fixed.assemble(train)), models.steady(fixed.assemble(test))
+    return fixed, models.steady(fixed.assemble(train), partitions=partitions), models.steady(fixed.assemble(test), partitions=partitions)
 
 
 def score_sites(model: Model, fixed: models.FeatureList, candidates: DataFrame) -> DataFrame:

@@ -45,6 +45,13 @@ def test_comparison_has_a_row_per_model(sets):
     assert rows["dt"].mape == pytest.approx(models.metrics(fitted["dt"].transform(test)).first().mape)
 
 
+def test_layout_does_not_depend_on_the_number_of_rows(spark):
+    """Rows keep their partition when more rows come in, past any multiple of 10,000."""
+    place = lambda n, **more: {r.site_id: r.p for r in models.steady(spark.range(n).withColumnRenamed("id", "site_id"), **more).withColumn("p", F.spark_partition_id()).where("site_id < 50").collect()}
+    assert place(50) == place(10_050) == place(20_050)
+    assert models.steady(spark.range(3).withColumnRenamed("id", "site_id"), partitions=5).rdd.getNumPartitions() == 5
+
+
 def test_grid(spark):
     grid = models.forest_grid(spark)
     assert grid.count() == 720 and grid.distinct().count() == 720
