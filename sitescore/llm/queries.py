@@ -15,6 +15,7 @@ from sitescore.llm.jaccard_join import near_copies
 from sitescore.llm.kit import ship, table
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.mixing import mix_sources
+from sitescore.llm.repetition import with_repetition
 from sitescore.llm.secret_scan import BASE, LEARNED, find_secrets
 from sitescore.llm.substring_dedup import remove_repeats
 from sitescore.llm.suffix_dedup import remove_repeated_bytes
@@ -85,6 +86,11 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = with_repetition(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "__repetition.*")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,5 +113,6 @@ QUERIES = {
         op8_exact_dedup,
         op9_jaccard_join,
         op10_source_mixing,
+        op11_quality_rules,
     )
 }
