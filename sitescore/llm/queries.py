@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from sitescore.llm.html_text import extractor
 from sitescore.llm.jaccard_join import near_copies
 from sitescore.llm.kit import ship, table
 from sitescore.llm.language_id import held_out, identify
+from sitescore.llm.merkle import document_manifest, fold, proof_digest
 from sitescore.llm.mixing import mix_sources
 from sitescore.llm.repetition import with_repetition
 from sitescore.llm.secret_scan import BASE, LEARNED, find_secrets
@@ -91,6 +93,15 @@ def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "__repetition.*")
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(held_out(), lower).otherwise(F.col("text"))
+    found = document_manifest(table(spark, folder, "documents"), tampered)
+    way = (F.col("before"), F.col("after"))
+    out = found.select("doc_id", "leaf", "subroot", "root", proof_digest(*way).alias("proof_sha256"), fold(F.col("changed"), *way).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,5 +125,6 @@ QUERIES = {
         op9_jaccard_join,
         op10_source_mixing,
         op11_quality_rules,
+        op12_merkle_manifest,
     )
 }
