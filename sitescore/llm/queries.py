@@ -17,6 +17,7 @@ from sitescore.llm.kit import ship, table
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.merkle import document_manifest, fold, proof_digest
 from sitescore.llm.mixing import mix_sources
+from sitescore.llm.periodic_runs import find_runs, planted
 from sitescore.llm.repetition import with_repetition
 from sitescore.llm.secret_scan import BASE, LEARNED, find_secrets
 from sitescore.llm.substring_dedup import remove_repeats
@@ -102,6 +103,20 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", planted().alias("text"))
+    found = find_runs(docs).select("doc_id", "__runs.*")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,5 +141,6 @@ QUERIES = {
         op10_source_mixing,
         op11_quality_rules,
         op12_merkle_manifest,
+        op13_periodic_runs,
     )
 }
