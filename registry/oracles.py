@@ -215,6 +215,29 @@ UNION
 SELECT w.source, e.dst, w.minutes + e.minutes, w.miles + e.miles
 FROM ways w JOIN edges e ON w.node = e.src WHERE w.minutes + e.minutes <= 5)"""
 
+# Cells of a 1/128 degree grid near the road a site gets along in 5 minutes, and its nodes.
+ROAD_CELLS = (
+    """ways(source, node, minutes) AS (
+SELECT site_id, site_id * 3, 0e0 FROM sites
+UNION SELECT w.source, e.dst, w.minutes + e.minutes FROM ways w JOIN edges e ON w.node = e.src WHERE w.minutes + e.minutes <= 5)""",
+    "best AS (SELECT source, node, min(minutes) AS minutes FROM ways GROUP BY source, node)",
+    """road AS (
+SELECT b.source, p.lon AS x0, p.lat AS y0, p.lon + s.share * (q.lon - p.lon) AS x1, p.lat + s.share * (q.lat - p.lat) AS y1
+FROM (SELECT b.*, e.dst, least(1e0, (5e0 - b.minutes) / e.minutes) AS share FROM best b JOIN edges e ON b.node = e.src) s
+JOIN best b ON b.source = s.source AND b.node = s.node JOIN address_fabric p ON p.addr_id = s.node JOIN address_fabric q ON q.addr_id = s.dst
+UNION ALL SELECT b.source, p.lon, p.lat, p.lon, p.lat FROM best b JOIN address_fabric p ON p.addr_id = b.node)""",
+    "wide AS (SELECT *, 1e0 / 128 AS s, 0.1e0 / 69e0 AS m, 0.1e0 / 69e0 / cos(radians(y0)) AS b FROM road)",
+    """lanes AS (
+SELECT *, unnest(generate_series(CAST(floor((least(x0, x1) - b) / s) AS BIGINT), CAST(floor((greatest(x0, x1) + b) / s) AS BIGINT))) AS cx FROM wide)""",
+    "beside AS (SELECT *, greatest(least(x0, x1), cx * s - b) AS xa, least(greatest(x0, x1), (cx + 1) * s + b) AS xb FROM lanes)",
+    """passed AS (
+SELECT source, cx, s, m, CASE WHEN x0 = x1 THEN y0 ELSE y0 + (xa - x0) * ((y1 - y0) / (x1 - x0)) END AS ya,
+       CASE WHEN x0 = x1 THEN y1 ELSE y0 + (xb - x0) * ((y1 - y0) / (x1 - x0)) END AS yb FROM beside)""",
+    """cells AS (
+SELECT DISTINCT source, cx, unnest(generate_series(CAST(floor((least(ya, yb) - m) / s) AS BIGINT), CAST(floor((greatest(ya, yb) + m) / s) AS BIGINT))) AS cy
+FROM passed)""",
+)
+
 _SAMPLE_N = "(SELECT count(*) FROM reviews r JOIN sites s ON r.site_id = s.site_id WHERE NOT s.is_candidate)"
 
 
@@ -473,6 +496,34 @@ SELECT site_id, site_id * 3, 0e0 FROM sites
 UNION SELECT w.source, e.dst, w.minutes + e.minutes FROM ways w JOIN edges e ON w.node = e.src WHERE w.minutes + e.minutes <= 5)""",
         recursive=True,
     ),
+    "network_boundary": sql(
+        "sites edges address_fabric",
+        """SELECT c.source AS site_id, c.cells, 4 * c.cells - 2 * coalesce(n.pairs, 0) AS sides, v.corners,
+       round(c.x0 / 128e0 + 1e-9, 6) AS min_x, round(c.x1 / 128e0 + 1e-9, 6) AS max_x, round(c.y0 / 128e0 + 1e-9, 6) AS min_y, round(c.y1 / 128e0 + 1e-9, 6) AS max_y
+FROM (SELECT source, count(*) AS cells, min(cx) AS x0, max(cx) + 1 AS x1, min(cy) AS y0, max(cy) + 1 AS y1 FROM cells GROUP BY source) c
+JOIN corners v ON v.source = c.source LEFT JOIN pairs n ON n.source = c.source""",
+        *ROAD_CELLS,
+        """pairs AS (
+SELECT a.source, count(*) AS pairs FROM cells a JOIN cells b ON a.source = b.source AND ((b.cx = a.cx + 1 AND b.cy = a.cy) OR (b.cx = a.cx AND b.cy = a.cy + 1))
+GROUP BY a.source)""",
+        # the cells around a grid point, one bit each: one or three make a corner, two across make two
+        """around AS (
+SELECT source, cx + q.i AS vx, cy + q.j AS vy, sum(q.bit) AS mask FROM cells, (VALUES (0, 0, 1), (1, 1, 2), (1, 0, 4), (0, 1, 8)) q(i, j, bit)
+GROUP BY source, cx + q.i, cy + q.j)""",
+        """corners AS (
+SELECT source, CAST(sum(CASE WHEN mask IN (3, 12) THEN 2 WHEN mask IN (5, 6, 9, 10, 15) THEN 0 ELSE 1 END) AS BIGINT) AS corners FROM around GROUP BY source)""",
+        recursive=True,
+    ),
+    "geofence_network": sql(
+        "sites edges address_fabric",
+        """SELECT DISTINCT c.source AS site_id, f.addr_id FROM cells c JOIN near f ON c.cx = f.cx AND c.cy = f.cy""",
+        *ROAD_CELLS,
+        # a point on a grid line belongs to the cells on both sides
+        """near AS (
+SELECT addr_id, cx, unnest([CAST(floor(lat * 128) AS BIGINT), CAST(ceil(lat * 128) AS BIGINT) - 1]) AS cy
+FROM (SELECT addr_id, lat, unnest([CAST(floor(lon * 128) AS BIGINT), CAST(ceil(lon * 128) AS BIGINT) - 1]) AS cx FROM address_fabric) f)""",
+        recursive=True,
+    ),
     "route_cost": sql(
         "edges geofence_bridge",
         """SELECT p.from_node, p.to_node, round(c.best.miles + 1e-9, 6) AS distance, round(c.best.minutes + 1e-9, 6) AS minutes

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sitescore.functions import geometry, measures
 from sitescore.ml import models
-from sitescore.operators import columns, enrich, features, geocode, geofence, quality, rank, reach, sampling
+from sitescore.operators import columns, enrich, features, geocode, geofence, outline, quality, rank, reach, sampling
 from sitescore.operators.balance import FIND, hot_keys
 from sitescore.operators.enrich import FeatureSource
 from sitescore.plans import site_selection
@@ -679,6 +679,35 @@ def network_reach(t):
     return reach.network_reach(site_nodes(t), t["edges"], BUDGET, t["driveways"])
 
 
+def road_fence(t: LocationTables, text: bool = True) -> DataFrame:
+    """Sites with the outline of the road they reach; a node lies at the address of its number."""
+    nodes = t["address_fabric"].select(F.col("addr_id").alias("node"), F.col("lon").alias("x"), F.col("lat").alias("y"))
+    return outline.network_boundary(site_nodes(t), t["edges"], nodes, BUDGET, text=text)
+
+
+@query
+def network_boundary(t):
+    """Size and shape of every outline, measured on its GeoJSON text, in cells."""
+    shapes = road_fence(t).where(F.col("polygon").isNotNull()).withColumn("parts", geometry.polygon_from_geojson("polygon"))
+    edges = shapes.select("site_id", F.explode(F.flatten(geometry.polygon_edges("parts"))).alias("e"))
+    side = F.lit(outline.CELL_SIDE)
+    return edges.groupBy("site_id").agg(
+        F.round(F.sum(F.expr("e.ax * e.by - e.bx * e.ay")) / 2 / side / side).cast("long").alias("cells"),
+        F.round(F.sum(F.expr("abs(e.bx - e.ax) + abs(e.by - e.ay)")) / side).cast("long").alias("sides"),
+        F.count(F.lit(1)).alias("corners"),
+        F.min("e.ax").alias("min_x"),
+        F.max("e.ax").alias("max_x"),
+        F.min("e.ay").alias("min_y"),
+        F.max("e.ay").alias("max_y"),
+    )
+
+
+@query
+def geofence_network(t):
+    """Addresses inside the outline of the road a site reaches."""
+    return geofence.geofence(road_fence(t, text=False), t["address_fabric"])
+
+
 @query
 def route_cost(t):
     pairs = t["geofence_bridge"].distinct().select((F.col("site_id") * 3).alias("from_node"), F.col("addr_id").alias("to_node"))
