@@ -572,4 +572,22 @@ FROM (SELECT l.*, c.stars AS stars_score, m.median_sales_volume_local
         *CHAIN,
         _SALES.format(bridge="fence"),
     ),
+    "fenced_stores_split": sql(
+        "sites address_fabric population consumer_spend audience poi reviews",
+        f"SELECT s.site_id, r.stars, {_IN_TEST.replace('site_id', 's.site_id')} AS in_test FROM shops s JOIN res USING (site_id) JOIN reviews r ON r.site_id = s.site_id",
+        OCTAGON_CTE,
+        _sides("sides", "0.03125e0").replace("FROM sites s CROSS JOIN octagon a", "FROM (SELECT * FROM sites WHERE NOT is_candidate) s CROSS JOIN octagon a"),
+        FENCE,
+        HOMES.replace("geofence_bridge b", "fence b"),
+        *RES_CTES,
+        _shop_points("fence"),
+    ),
+    "model_ranking_facts": sql(
+        CHAIN_VIEWS,
+        """SELECT l.site_id, l.formatted_address, round(l.x + 1e-9, 6) AS x, round(l.y + 1e-9, 6) AS y, l.price, l.size_sqft, m.median_sales_volume_local,
+       true AS score_in_label_range
+FROM located l LEFT JOIN sales m ON l.site_id = m.site_id WHERE l.site_id IN (SELECT s.site_id FROM shops s JOIN res r ON s.site_id = r.site_id)""",
+        *CHAIN,
+        _SALES.format(bridge="fence"),
+    ),
 }

@@ -15,6 +15,7 @@ from sitescore.operators import columns, enrich, features, geocode, geofence, ou
 from sitescore.operators.balance import FIND, hot_keys
 from sitescore.operators.enrich import FeatureSource
 from sitescore.plans import site_selection
+from sitescore.plans.store_selection import StoreSelection
 from sitescore.session import cut_lineage, scratch_path
 from sitescore.sources import tables
 from sitescore.sources.location_views import LocationTables
@@ -884,3 +885,40 @@ def ranking_from_listings(t):
     sales = features.local_sales(around, t["address_fabric"], t["poi"])
     metrics = described.select("site_id", "price", "size_sqft").join(stars, on="site_id").join(sales, on="site_id", how="left")
     return rank.with_attributes(rank.combined_score(metrics), sites.select("site_id", "formatted_address", "x", "y"), "score")
+
+
+def selection(t: LocationTables) -> StoreSelection:
+    return StoreSelection(site_features(t), lambda sites: geofence.travel_boundary(sites, radius=REACH))
+
+
+@query
+def fenced_stores_split(t):
+    """Stores with features from their own fence, their label and the part they fall in."""
+    trained = selection(t).train(training_sites(t), t["reviews"])
+    return trained.labelled
+
+
+@query
+def fenced_model_metrics(t):
+    """Hold-out errors of the model trained on fenced stores."""
+    return selection(t).train(training_sites(t), t["reviews"]).held_out
+
+
+def _ranked_by_model(t: LocationTables) -> tuple[DataFrame, float, float]:
+    plan = selection(t)
+    trained = plan.train(training_sites(t), t["reviews"])
+    return plan.rank(trained, plan.locate(t["listings"])), trained.lowest, trained.highest
+
+
+@query
+def model_ranking_from_listings(t):
+    """Listings by the score of a model trained on fenced stores, with address and place."""
+    return _ranked_by_model(t)[0]
+
+
+@query
+def model_ranking_facts(t):
+    """What does not depend on the trees: who is ranked, where, by which metrics, and with a label the stores have."""
+    ranked, lowest, highest = _ranked_by_model(t)
+    known = F.col("stars_score").between(lowest, highest)
+    return ranked.select("site_id", "formatted_address", "x", "y", "price", "size_sqft", "median_sales_volume_local", known.alias("score_in_label_range"))
