@@ -680,16 +680,16 @@ def network_reach(t):
     return reach.network_reach(site_nodes(t), t["edges"], BUDGET, t["driveways"])
 
 
-def road_fence(t: LocationTables, text: bool = True) -> DataFrame:
-    """Sites with the outline of the road they reach; a node lies at the address of its number."""
-    nodes = t["address_fabric"].select(F.col("addr_id").alias("node"), F.col("lon").alias("x"), F.col("lat").alias("y"))
-    return outline.network_boundary(site_nodes(t), t["edges"], nodes, BUDGET, text=text)
+def road_nodes(t: LocationTables) -> DataFrame:
+    """A node lies at the address of its number."""
+    return t["address_fabric"].select(F.col("addr_id").alias("node"), F.col("lon").alias("x"), F.col("lat").alias("y"))
 
 
 @query
 def network_boundary(t):
     """Size and shape of every outline, measured on its GeoJSON text, in cells."""
-    shapes = road_fence(t).where(F.col("polygon").isNotNull()).withColumn("parts", geometry.polygon_from_geojson("polygon"))
+    bounded = outline.network_boundary(site_nodes(t), t["edges"], road_nodes(t), BUDGET)
+    shapes = bounded.where(F.col("polygon").isNotNull()).withColumn("parts", geometry.polygon_from_geojson("polygon"))
     edges = shapes.select("site_id", F.explode(F.flatten(geometry.polygon_edges("parts"))).alias("e"))
     side = F.lit(outline.CELL_SIDE)
     return edges.groupBy("site_id").agg(
@@ -706,7 +706,7 @@ def network_boundary(t):
 @query
 def geofence_network(t):
     """Addresses inside the outline of the road a site reaches."""
-    return geofence.geofence(road_fence(t, text=False), t["address_fabric"])
+    return outline.network_fence(site_nodes(t), t["edges"], road_nodes(t), t["address_fabric"], BUDGET)
 
 
 @query
