@@ -14,7 +14,7 @@ from sitescore.ml import models
 from sitescore.operators import columns, enrich, features, geocode, geofence, outline, quality, rank, reach, sampling
 from sitescore.operators.balance import FIND, hot_keys
 from sitescore.operators.enrich import FeatureSource
-from sitescore.plans import site_selection
+from sitescore.plans import site_selection, tuning
 from sitescore.plans.store_selection import StoreSelection
 from sitescore.session import cut_lineage, scratch_path
 from sitescore.sources import tables
@@ -814,6 +814,12 @@ def best_grid_run(t):
     return _flat_runs(models.best_run(searched(t)))
 
 
+@query
+def tuned_search(t):
+    """The tuning flow over the whole grid, both criteria measured."""
+    return _flat_runs(tuning.tune(training_matrix(t), models.grid_rows(**models.GRID)))
+
+
 @query
 def best_run(t):
     """The best of five baselines that shrink batch means towards the overall mean."""
