@@ -481,6 +481,39 @@ JOIN sides s ON b.site_id = s.site_id JOIN address_fabric f ON b.addr_id = f.add
     # geocoding, boundaries, roads
     "geocode_exact": sql("listings address_fabric", _geocode(_EXACT_ROWS), ASKED, KNOWN, EXACT),
     "geocode_fuzzy": sql("listings address_fabric", _geocode(f"{_EXACT_ROWS} UNION ALL SELECT listing_id, k, 'spelling' FROM near"), ASKED, KNOWN, EXACT, NEAR),
+    "geocode_parsed": sql(
+        "listings address_fabric",
+        """SELECT q.listing_id, h.addr_id,
+       round(CASE WHEN h.addr_id IS NOT NULL THEN h.lon WHEN m.street IS NULL THEN z.lon WHEN lo.number IS NULL THEN hi.lon WHEN hi.number IS NULL THEN lo.lon
+             ELSE lo.lon + CAST(q.number - lo.number AS DOUBLE) / (hi.number - lo.number) * (hi.lon - lo.lon) END + 1e-9, 6) AS x,
+       round(CASE WHEN h.addr_id IS NOT NULL THEN h.lat WHEN m.street IS NULL THEN z.lat WHEN lo.number IS NULL THEN hi.lat WHEN hi.number IS NULL THEN lo.lat
+             ELSE lo.lat + CAST(q.number - lo.number AS DOUBLE) / (hi.number - lo.number) * (hi.lat - lo.lat) END + 1e-9, 6) AS y,
+       h.address_line AS formatted_address,
+       CASE WHEN h.addr_id IS NOT NULL THEN CASE WHEN m.street = q.street THEN 'exact' ELSE 'spelling' END
+            WHEN m.street IS NOT NULL THEN CASE WHEN lo.number IS NULL OR hi.number IS NULL THEN 'street' ELSE 'interpolated' END
+            WHEN z.zipcode IS NOT NULL THEN 'postcode' END AS precision,
+       CASE WHEN z.zipcode IS NULL THEN 'no match' END AS error
+FROM q LEFT JOIN meant m ON m.listing_id = q.listing_id
+LEFT JOIN houses h ON h.zipcode = q.zipcode AND h.street = m.street AND h.number = q.number
+LEFT JOIN low l ON l.listing_id = q.listing_id LEFT JOIN houses lo ON lo.zipcode = q.zipcode AND lo.street = m.street AND lo.number = l.number
+LEFT JOIN high g ON g.listing_id = q.listing_id LEFT JOIN houses hi ON hi.zipcode = q.zipcode AND hi.street = m.street AND hi.number = g.number
+LEFT JOIN centre z ON z.zipcode = q.zipcode""",
+        f"""q AS (
+SELECT listing_id, zipcode, CAST(nullif(regexp_extract(line, '^([0-9]+) ', 1), '') AS BIGINT)
+       + CASE WHEN listing_id % 5 = 2 THEN 97 WHEN listing_id % 5 = 3 THEN 1000000 ELSE 0 END AS number, regexp_replace(line, '^[0-9]+ ', '') AS street
+FROM (SELECT listing_id, zipcode, {_line('address')} AS line FROM listings) a)""",
+        f"""known AS (
+SELECT addr_id, lon, lat, zipcode, address_line, CAST(regexp_extract(line, '^([0-9]+) ', 1) AS BIGINT) AS number, regexp_replace(line, '^[0-9]+ ', '') AS street
+FROM (SELECT *, {_line('address_line')} AS line FROM address_fabric) f)""",
+        "houses AS (SELECT zipcode, street, number, min(addr_id) AS addr_id, arg_min(lon, addr_id) AS lon, arg_min(lat, addr_id) AS lat, arg_min(address_line, addr_id) AS address_line FROM known GROUP BY ALL)",
+        "streets AS (SELECT DISTINCT zipcode, street FROM known)",
+        """meant AS (
+SELECT q.listing_id, min({'edits': levenshtein(q.street, s.street), 'street': s.street}).street AS street FROM q JOIN streets s ON q.zipcode = s.zipcode
+WHERE q.number IS NOT NULL AND levenshtein(q.street, s.street) <= 2 GROUP BY q.listing_id)""",
+        "low AS (SELECT q.listing_id, max(h.number) AS number FROM q JOIN meant m USING (listing_id) JOIN houses h ON h.zipcode = q.zipcode AND h.street = m.street AND h.number <= q.number GROUP BY ALL)",
+        "high AS (SELECT q.listing_id, min(h.number) AS number FROM q JOIN meant m USING (listing_id) JOIN houses h ON h.zipcode = q.zipcode AND h.street = m.street AND h.number >= q.number GROUP BY ALL)",
+        "centre AS (SELECT zipcode, avg(lon) AS lon, avg(lat) AS lat FROM address_fabric GROUP BY zipcode)",
+    ),
     "travel_boundary": sql(
         "sites",
         """SELECT s.site_id, o.i, round(s.x + o.ux * r.corner / cos(radians(s.y)) + 1e-9, 6) AS vx, round(s.y + o.uy * r.corner + 1e-9, 6) AS vy

@@ -35,23 +35,19 @@ def normalise_address(text: Column) -> Column:
     return F.when(clean != "", line)
 
 
-def without_one(text: Column) -> Column:
-    """Every string made by taking one character out of ``text``."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    return F.transform(places, lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
+# Words before the number of a unit.
+UNIT_WORDS = ("APT", "APARTMENT", "UNIT", "STE", "SUITE", "#")
 
 
-def edit_signatures(block: Column, text: Column, edits: int) -> Column:
-    """Hashes of (block, variant) for all variants of ``text`` with up to ``edits`` deletions.
+def parse_address(text: Column) -> Column:
+    """struct(number, street, unit) of an address line, written as :func:`normalise_address` does.
 
-    Two strings within that edit distance share one variant, so an equi join on
-    the hashes finds every such pair; the number of variants depends on the
-    length of the string only, not on how many strings a block holds. A hash
-    collision adds a candidate that the exact distance then rejects.
+    The number is the whole number that comes first; a unit is what follows a word
+    for one at the end. What is missing is NULL; a blank line has none of the three.
     """
-    variants = F.array(text)
-    layer = variants
-    for _ in range(edits):
-        layer = F.array_distinct(F.flatten(F.transform(layer, without_one)))
-        variants = F.concat(variants, layer)
-    return F.array_distinct(F.transform(variants, lambda v: F.xxhash64(block, v)))
+    clean = F.trim(F.regexp_replace(F.upper(text), r"[\s.,]+", " "))
+    unit = r"(?:^| )(?:" + "|".join(w for w in UNIT_WORDS if w != "#") + r"|#) ?([0-9A-Z-]+)$"
+    rest = F.trim(F.regexp_replace(clean, unit, ""))
+    number = F.nullif(F.regexp_extract(rest, r"^([0-9]+)(?: |$)", 1), F.lit("")).try_cast("bigint")
+    street = normalise_address(F.when(number.isNotNull(), F.regexp_replace(rest, r"^[0-9]+(?: |$)", "")).otherwise(rest))
+    return F.struct(number.alias("number"), street.alias("street"), F.nullif(F.regexp_extract(clean, unit, 1), F.lit("")).alias("unit"))
