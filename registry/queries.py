@@ -206,6 +206,20 @@ def batched_geofence(t):
     return t.spark.read.parquet(out["fenced"]).select("site_id", "addr_id", F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
+@query
+def open_batches_geofence(t):
+    """The same batches in one job for each step, in two runs: first a few of them, then the others."""
+    steps = {
+        "routed": lambda sites: geofence.travel_boundary(sites, radius=RADIUS),
+        "fenced": lambda sites: geofence.geofence(sites, t["address_fabric"], keep=("site_id", "batch_id")),
+    }
+    folder = scratch_path(t.spark, "open-batches")
+    tables.run_open_batches(t["sites"].where("batch_id < 5"), steps, folder)
+    out = tables.run_open_batches(t["sites"], steps, folder)
+    fenced = t.spark.read.schema("site_id bigint, addr_id bigint, batch_id bigint").parquet(out["fenced"])
+    return fenced.select("site_id", "addr_id", "batch_id")
+
+
 @query
 def batch_join(t):
     return tables.with_batch(t["geofence_bridge"].distinct(), t["sites"])

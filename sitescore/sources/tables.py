@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitescore.session import cut_lineage
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Scan of one parquet table of a folder."""
@@ -135,6 +137,48 @@ def run_in_batches(
     return {name: f"{folder}/{name}" for name in steps}
 
 
+def _without(df: DataFrame, other: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` is not in ``other``; NULL equals NULL."""
+    return df.alias("l").join(other.alias("r"), F.col(f"l.{column}").eqNullSafe(F.col(f"r.{column}")), "left_anti")
+
+
+def run_open_batches(
+    df: DataFrame,
+    steps: dict[str, Callable[[DataFrame], DataFrame]],
+    folder: str,
+    batch_column: str = "batch_id",
+) -> dict[str, str]:
+    """Process all batches that are not finished, in one job for each step whatever their number.
+
+    A step gets rows with their ``batch_column`` and returns it with its result,
+    which is written by batch; the next step reads what was written. Only after
+    a write was committed are its batches noted as finished, also those without
+    a result. A run that stops between goes on with the batches that were not
+    noted; their folders are written anew and the others are left alone. Rows
+    without a batch are the batch NULL. A batch is finished by its id: rows that
+    join it later are not seen.
+    """
+    spark = df.sparkSession
+    source, written = df, {}
+    for name, step in steps.items():
+        target, notes = f"{folder}/{name}", f"{folder}/_finished/{name}"
+        batches = source.select(batch_column).distinct()
+        if _finished(spark, notes):
+            batches = _without(batches, spark.read.schema(batches.schema).parquet(notes), batch_column)
+        todo = cut_lineage(batches)
+        match = F.col(f"l.{batch_column}").eqNullSafe(F.col(f"r.{batch_column}"))
+        result = step(source.alias("l").join(todo.alias("r"), match, "left_semi"))
+        if not todo.isEmpty():
+            result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch_column).parquet(target)
+            todo.write.mode("append").parquet(notes)
+        elif not _finished(spark, target):
+            result.limit(0).write.mode("append").partitionBy(batch_column).parquet(target)
+        # a result without rows leaves no file to read a schema from
+        source = spark.read.schema(result.schema).parquet(target)
+        written[name] = target
+    return written
+
+
 def with_batch(df: DataFrame, batches: DataFrame, key: str = "site_id", batch_column: str = "batch_id") -> DataFrame:
     """Attach the batch id of every key; keys without a batch stay."""
     return df.join(batches.select(key, batch_column).distinct(), on=key, how="left")
