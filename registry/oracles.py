@@ -624,4 +624,4 @@ FROM located l LEFT JOIN sales m ON l.site_id = m.site_id WHERE l.site_id IN (SE
         _SALES.format(bridge="fence"),
     ),
 }
-ORACLES["open_batches_geofence"] = ORACLES["batched_geofence"]
+ORACLES["resumed_geofence"] = ORACLES["batched_geofence"]

@@ -207,7 +207,7 @@ def batched_geofence(t):
 
 
 @query
-def open_batches_geofence(t):
+def resumed_geofence(t):
     """The same batches in one job for each step, in two runs: first a few of them, then the others."""
     steps = {
         "routed": lambda sites: geofence.travel_boundary(sites, radius=RADIUS),
