@@ -20,11 +20,11 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitescore.llm.kit import MIX1, ROLL, U64, mix
-from sitescore.llm.repetition import pieces
 
 #: Largest period found by comparing shifted texts.
 SMALL = 7
@@ -194,23 +194,31 @@ def runs_in(least: int = 24, power: int = 3, piece_chars: int = 1 << 20) -> Colu
     def structs(runs: list[tuple[int, int, int]]) -> list[dict[str, int]]:
         return [dict(zip(("start", "length", "period"), r)) for r in runs]
 
-    def searched(column: pa.Array) -> pa.Array:
-        texts = [t or "" for t in column.to_pylist()]
-        rows: list[tuple] = []
-        # short texts go together, so that large scales are only built for long ones
-        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
-        dealt = [texts[i] for i in order]
-        for piece in pieces(dealt, piece_chars):
-            rows += runs_of([t.encode() for t in dealt[piece]], least, power)
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        rows = [rows[i] for i in back.tolist()]
+    def found_in(texts: list[str]) -> pa.StructArray:
+        rows = runs_of([t.encode() for t in texts], least, power)
         strongest = [structs([reduce(_stronger, r)])[0] if r else None for _, r, _ in rows]
         columns = [[n for n, _, _ in rows], [structs(r) for _, r, _ in rows], strongest]
         arrays = [pa.array(c, k) for c, k in zip(columns, list(kinds.values())[:3])]
         arrays.append(pa.array([c for _, _, c in rows], pa.binary()).cast(pa.string()))
         return pa.StructArray.from_arrays(arrays, list(kinds))
 
+    def searched(column: pa.Array) -> pa.Array:
+        # short texts go together, so that large scales are only built for long ones
+        sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(sizes, kind="stable")
+        held = np.cumsum(sizes[order] + 1)
+        parts, begin = [found_in([])], 0
+        while begin < len(order):
+            # texts of about ``piece_chars`` bytes, one at least; only these are Python objects at a time
+            end = max(begin + 1, int(np.searchsorted(held, (held[begin - 1] if begin else 0) + piece_chars, side="right")))
+            parts.append(found_in([t or "" for t in column.take(pa.array(order[begin:end])).to_pylist()]))
+            begin = end
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        out = pa.concat_arrays(parts)
+        del parts
+        return out.take(pa.array(back))
+
     schema = f"struct<n_words:long,runs:array<{RUN}>,strongest:{RUN},collapsed:string>"
     return F.arrow_udf(searched, schema).asNondeterministic()
 
@@ -255,11 +263,14 @@ def planted(doc_id: str = "doc_id", text: str = "text") -> Column:
     """
 
     def changed(hashes: pa.Array, texts: pa.Array) -> pa.Array:
-        out = []
-        for h, t in zip(hashes.to_pylist(), texts.to_pylist()):
-            words = t.encode().split() if h is not None and h % 10 == 0 and t is not None else []
-            out.append(b" ".join(periodic_end(words, h)).decode() if words else t)
-        return pa.array(out, pa.string())
+        parts = [pa.array([], pa.string())]
+        for begin in range(0, len(texts), 500):
+            out = []
+            for h, t in zip(hashes.slice(begin, 500).to_pylist(), texts.slice(begin, 500).to_pylist()):
+                words = t.encode().split() if h is not None and h % 10 == 0 and t is not None else []
+                out.append(b" ".join(periodic_end(words, h)).decode() if words else t)
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts)
 
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
     return F.arrow_udf(changed, "string").asNondeterministic()(h, F.col(text))
