@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitescore.llm.kit import kept
+from sitescore.llm.kit import Scratch, kept
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,12 +27,16 @@ def components(links: DataFrame) -> DataFrame:
         return moved.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges, last = kept(edges, "edges"), None
+    scratch = Scratch(links.sparkSession)
+    edges, last = scratch.keep(edges, "edges"), None
     while True:
-        edges = kept(star(kept(star(edges, True), "edges"), False), "edges")
+        edges = scratch.keep(star(edges, True), "edges")
+        edges = scratch.keep(star(edges, False), "edges")
         sign = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003)).first()
         if sign == last:
             break
         last = sign
     roots = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
-    return roots.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = kept(roots.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components")
+    scratch.drop("edges")
+    return out

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitescore.llm.components import components
-from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
+from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Scratch, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
 
-FOUND = "kind int, doc_id long, row long, n long, node long, key long, part int, need int, tokens binary"
+FOUND = "kind int, doc_id long, row long, n long, node long, key long, part int, need int, most_apart int, tokens binary"
 #: A set sends the cells it compares with its own band, with the next larger one and with the next smaller one.
 SAME, UP, DOWN = 0, 1, 2
 DOCUMENT, MEMBER, SET = 0, 1, 2
@@ -66,7 +66,11 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarray, cross: bool, percent: int):
-    """Keys of the cells of some sets for one kind of band pair: set, key, and how many must agree.
+    """Keys of the cells of some sets for one kind of band pair.
+
+    Returns the set and the key of each cell, and for each set how many must
+    agree and the most shingles in which a linked pair differs; the latter is
+    -1 for a set whose single cell in common need not grow for smaller partners.
 
     Cells with fewer than two shingles tell little and are left out: the slack
     covers them, since more cells agree than a set has of such. A set with more
@@ -82,7 +86,7 @@ def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarr
     mine = tokens[np.repeat(first[:-1], size) + inside]
     cell = ((mine >> U64(32)) * count[owner].astype(U64)) >> U64(32)
     if not len(mine):
-        return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(len(size), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(len(size), np.int64), np.full(len(size), -1)
     fresh = np.ones(len(mine), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (cell[1:] != cell[:-1])
     begin = np.flatnonzero(fresh)
@@ -100,7 +104,7 @@ def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarr
         early = scarce[owner] & (inside <= d[owner])
         whose = np.concatenate((whose, owner[early]))
         keys = np.concatenate((keys, mix(mine[early] ^ mix((band[owner[early]] * 2 + cross).astype(U64) * MIX2))))
-    return whose, keys, np.where(weak, 1, e + 1 - light)
+    return whose, keys, np.where(weak, 1, e + 1 - light), np.where(weak, -1, d)
 
 
 def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataFrame:
@@ -121,25 +125,27 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
         pick = np.repeat(begin, size[one]) + np.arange(starts[-1]) - np.repeat(starts[:-1], size[one])
         tokens = tokens[pick]
         band = np.searchsorted(low, size[one], "right") - 1
-        whose, keys, part, need = [], [], [], []
+        whose, keys, part, need, apart = [], [], [], [], []
         for number, (shift, cross) in ((SAME, (0, False)), (UP, (0, True)), (DOWN, (-1, True))):
             lower = band + shift
             ok = np.where(lower >= 0, lower, 0)
-            w, k, n = _emit(tokens, starts, ok, low, cross, percent)
+            w, k, n, m = _emit(tokens, starts, ok, low, cross, percent)
             good = lower[w] >= 0
             whose.append(w[good])
             keys.append(k[good])
             part.append(np.full(int(good.sum()), number))
             need.append(n)
+            apart.append(m)
         whose, keys, part = np.concatenate(whose), np.concatenate(keys), np.concatenate(part)
         place, counts = first_places(keys)
-        return keys[place], counts, (ids, row, size, names, one, tokens, starts, whose, keys, part, np.array(need), place)
+        return keys[place], counts, (ids, row, size, names, one, tokens, starts, whose, keys, part, np.array(need), np.array(apart), place)
 
     def finish(state, flags: np.ndarray) -> pa.Table:
-        ids, row, size, names, one, tokens, starts, whose, keys, part, need, place = state
+        ids, row, size, names, one, tokens, starts, whose, keys, part, need, apart, place = state
         order = np.argsort(keys[place])
         shared = flags[order[np.searchsorted(keys[place][order], keys)]] > 0 if len(keys) else np.zeros(0, bool)
         need = np.maximum(1, need.T.reshape(-1, 3))
+        apart = apart.T.reshape(-1, 3)
         agree = np.bincount(whose[shared] * 3 + part[shared], minlength=3 * len(one)).reshape(-1, 3)
         enough = agree >= need
         member = shared & enough[whose, part]
@@ -159,6 +165,7 @@ def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataF
                 "key": pa.concat_arrays([pa.nulls(n_doc, pa.int64()), pa.array(keys[member].view(np.int64)), pa.nulls(n_set, pa.int64())]),
                 "part": pa.concat_arrays([pa.nulls(n_doc, pa.int32()), pa.array(part[member], pa.int32()), pa.nulls(n_set, pa.int32())]),
                 "need": pa.concat_arrays([pa.nulls(n_doc, pa.int32()), pa.array(need[whose[member], part[member]], pa.int32()), pa.nulls(n_set, pa.int32())]),
+                "most_apart": pa.concat_arrays([pa.nulls(n_doc, pa.int32()), pa.array(apart[whose[member], part[member]], pa.int32()), pa.nulls(n_set, pa.int32())]),
                 "tokens": pa.concat_arrays([blank, sets]),
             }
         )
@@ -203,7 +210,41 @@ def _fits(percent: int):
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
-def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float) -> DataFrame:
+def _need(percent: int):
+    """How many cells a linked pair must share, by its own sizes.
+
+    A set's need follows from the largest sizes of its band. A pair of smaller
+    sets differs in fewer shingles, and in that many fewer cells. Sets that need
+    only one cell (those with many light cells) stay at one.
+    """
+    difference = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    tighter = lambda side: F.when(F.col(f"most_{side}") < 0, F.col(f"need_{side}")).otherwise(F.col(f"need_{side}") + F.col(f"most_{side}") - difference)
+    return F.greatest(F.lit(1), tighter("a"), tighter("b"))
+
+
+def _all_pairs(labelled: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of all sets of different components that share as many open cells as both need.
+
+    The open cells of a set are put in one order for all sets, those with few
+    members first. Two sets with t cells in common share one that is among the
+    first m - t + 1 of the m cells of either, so only those meet in the join;
+    the common cells are then counted on the cells of both.
+    """
+    own = labelled.groupBy("node", "part").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("cells"), *(F.first(c).alias(c) for c in ("need", "n", "component", "most_apart")))
+    early = F.slice("cells", 1, F.greatest(F.lit(0), F.size("cells") - F.col("need") + 1))
+    rows = own.where(F.size("cells") >= F.col("need")).select("node", "part", "need", "n", "component", F.col("most_apart").alias("most"), F.explode(F.transform(early, lambda c: c["key"])).alias("key"))
+    names = (("node", "{}"), ("n", "n_{}"), ("component", "c_{}"), ("part", "part_{}"), ("need", "need_{}"), ("most", "most_{}"))
+    one, two = (rows.select("key", *(F.col(c).alias(x.format(side)) for c, x in names)) for side in "ab")
+    pairs = one.join(two, "key").where("a < b").where(F.col("c_a") != F.col("c_b")).where(_fits(percent))
+    pairs = pairs.where((F.col("part_a") == SAME) | (F.col("part_a") != F.col("part_b")))
+    pairs = pairs.select("a", "part_a", "b", "part_b", _need(percent).alias("least")).distinct()
+    for side in "ab":
+        cells_of = own.select(F.col("node").alias(side), F.col("part").alias(f"part_{side}"), F.transform("cells", lambda c: c["key"]).alias(f"cells_{side}"))
+        pairs = pairs.join(cells_of, [side, f"part_{side}"])
+    return pairs.where(F.size(F.array_intersect("cells_a", "cells_b")) >= F.col("least")).select("a", "b")
+
+
+def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, scratch: Scratch) -> DataFrame:
     """(node, component) of the sets that link with another one.
 
     Sets of one band meet in the cells of that band, sets of neighbouring bands
@@ -213,62 +254,72 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float) ->
     it shares most cells, unless links join the two already. Cells whose sets
     are all joined are done. When the cells left hold at most ``few`` pairs for
     each of their members, or after ``star_rounds`` rounds, all pairs left are
-    compared, so no link between components is missed.
+    compared, so no link between components is missed. The table ``found`` is
+    removed from ``scratch`` (as "sketch") once its cells and sets are written.
     """
     spark = found.sparkSession
-    labelled = found.where(F.col("kind") == MEMBER).select("key", "part", "need", "node", "n", F.col("node").alias("component"))
+    labelled = found.where(F.col("kind") == MEMBER).select("key", "part", "need", "most_apart", "node", "n", F.col("node").alias("component"))
     links = tested = spark.createDataFrame([], "a long, b long")
     comps, sets, turn = spark.createDataFrame([], "node long, component long"), None, 0
     while True:
-        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("part").alias("part_a"), F.col("need").alias("need_a")))
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("part").alias("part_a"), F.col("need").alias("need_a"), F.col("most_apart").alias("most_a")))
         low, high, up = F.min("part"), F.max("part"), F.count_if(F.col("part") == UP)
         spread = (F.max("component") > F.min("component")) & ((high == SAME) | (low < high))
         count = F.count("*")
         most = F.when(high == SAME, count * (count - 1) / 2).otherwise(up * (count - up))
         cells_open = labelled.groupBy("key").agg(drawn.alias("s"), spread.alias("open"), count.alias("held"), most.alias("most")).where("open")
-        cells_open = cells_open.select("key", "s.a", "s.n_a", "s.c_a", "s.part_a", "s.need_a", "held", "most")
-        labelled = kept(labelled.join(cells_open, "key"), "open")
+        cells_open = cells_open.select("key", "s.a", "s.n_a", "s.c_a", "s.part_a", "s.need_a", "s.most_a", "held", "most")
+        labelled = scratch.keep(labelled.join(cells_open, "key"), "open")
         rest, members = labelled.where("node = a").agg(F.sum("most"), F.sum("held")).first()
         if rest is None:
             break
         if sets is None:
             sets = found.where(F.col("kind") == SET).join(labelled.select("node").distinct(), "node", "left_semi")
-            sets = kept(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+            sets = scratch.keep(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
+            scratch.drop("sketch")
         last = rest <= few * members or turn >= star_rounds
-        two = labelled.select("key", "part", "need", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a", "part_a", "need_a")
         if last:
-            one = labelled.select("key", *(F.col(c).alias(x) for c, x in (("node", "a"), ("n", "n_a"), ("component", "c_a"), ("part", "part_a"), ("need", "need_a"))))
-            two = two.drop("a", "n_a", "c_a", "part_a", "need_a").join(one, "key").where("a < b")
-        pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).where((F.col("part") == SAME) | (F.col("part") != F.col("part_a")))
-        pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("need", "need_a")).alias("least")).where("shared >= least")
+            pairs = _all_pairs(labelled, percent)
+        else:
+            two = labelled.select("key", "part", F.col("need").alias("need_b"), F.col("most_apart").alias("most_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a", "part_a", "need_a", "most_a")
+            pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).where((F.col("part") == SAME) | (F.col("part") != F.col("part_a")))
+            pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(_need(percent)).alias("least")).where("shared >= least")
         seen = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pairs = pairs.join(seen, ["a", "b"], "left_anti")
         if not last:
             pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("s")).select("s.a", "b")
-        pairs = kept(pairs.select("a", "b"), "pairs")
+        pairs = scratch.keep(pairs.select("a", "b"), "pairs")
         if not pairs.isEmpty():
-            fresh = kept(_verified(pairs, sets, percent), "links")
-            links, tested = links.unionAll(fresh), tested.unionAll(pairs)
+            fresh = scratch.keep(_verified(pairs, sets, percent), "fresh")
             if not fresh.isEmpty():
-                comps = kept(components(links), "components")
+                links = scratch.keep(links.unionAll(fresh), "links")
+                comps = components(links)
+            if not last:
+                tested = scratch.keep(tested.unionAll(pairs), "tested")
         if last:
             break
-        labelled = labelled.select("key", "part", "need", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = labelled.select("key", "part", "need", "most_apart", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
+    scratch.drop("open", "sets", "pairs", "fresh", "links", "tested", "sketch")
     return comps
 
 
-def _documents(found: DataFrame, comps: DataFrame | None) -> DataFrame:
+def document_rows(found: DataFrame) -> DataFrame:
+    return found.where(F.col("kind") == DOCUMENT).select("doc_id", "row", "n", "node")
+
+
+def _documents(rows: DataFrame, comps: DataFrame) -> DataFrame:
     """One row per document: doc_id, row, n, node, component and component_id, for the components of the sets.
 
     ``component`` names the component, also where ids are null or repeated; it is null without words.
     """
-    rows = found.where(F.col("kind") == DOCUMENT).select("doc_id", "row", "n", "node")
     least = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     least = least.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = kept(least, "classes")
-    whole = kept(least.groupBy("component").agg(F.min("least").alias("whole")), "classes")
-    least = kept(least.join(whole, "component").select("node", "component", F.col("whole").alias("least")), "classes")
+    scratch = Scratch(rows.sparkSession)
+    least = scratch.keep(least, "classes")
+    whole = scratch.keep(least.groupBy("component").agg(F.min("least").alias("whole")), "whole")
+    least = scratch.keep(least.join(whole, "component").select("node", "component", F.col("whole").alias("least")), "classes")
+    scratch.drop("whole")
     component_id = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return rows.join(least, "node", "left").withColumn("component", F.when(F.col("n") > 0, F.col("component"))).withColumn("component_id", component_id).drop("least")
 
@@ -303,7 +354,7 @@ def near_links(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     """
     found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
     links = set_links(found, percent, block)
-    classes = _documents(found, kept(components(links), "components"))
+    classes = _documents(document_rows(found), components(links))
     held = classes.where("n > 0").groupBy("node").agg(F.count("*").alias("held"))
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     far = both.join(held.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("held").alias("far"))
@@ -313,7 +364,14 @@ def near_links(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id", n_links.alias("n_links"))
 
 
-def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: float = 1.0) -> DataFrame:
+def _classes(docs: DataFrame, width: int, percent: int, chunk_bytes: int, star_rounds: int, few: float) -> DataFrame:
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(sketch(docs, width, percent, chunk_bytes), "sketch")
+    rows = scratch.keep(document_rows(found), "documents")
+    return _documents(rows, linked_sets(found, percent, star_rounds, few, scratch))
+
+
+def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 12, few: float = 1.0) -> DataFrame:
     """One row per document: doc_id, row, n_shingles, component_id.
 
     A document's set holds the different shingles of ``width`` words of its
@@ -324,20 +382,18 @@ def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     document without words links with nothing. A null id counts only where a
     component has no other.
     """
-    found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
-    out = _documents(found, linked_sets(found, percent, star_rounds, few))
+    out = _classes(docs, width, percent, chunk_bytes, star_rounds, few)
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 3, few: float = 1.0) -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 12, few: float = 1.0) -> DataFrame:
     """``docs`` with one row of each component, all columns kept.
 
     The row with the smallest id stays, null only if there is no other, ties by
     the row key; of rows that repeat that id and text, one by its whole content.
     Rows without words link with nothing and stay.
     """
-    found = kept(sketch(docs, width, percent, chunk_bytes), "sketch")
-    rows = _documents(found, linked_sets(found, percent, star_rounds, few)).where("component is not null")
+    rows = _classes(docs, width, percent, chunk_bytes, star_rounds, few).where("component is not null")
     rows = kept(rows.groupBy("component", "row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("held")), "rows")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     best = rows.groupBy("component").agg(F.min(order).alias("best")).select("component", F.col("best.row").alias("best"))

@@ -53,6 +53,37 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables that live as long as they are needed.
+
+    A name holds one table. Keeping another one under it removes the former once
+    the new one is written, so a table may be made from the one it replaces.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path, former = scratch_path(self.spark, name), self.paths.get(name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        if former:
+            self._remove(former)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove the tables of these names; nothing unwritten may still read them."""
+        for name in names:
+            if name in self.paths:
+                self._remove(self.paths.pop(name))
+
+    def _remove(self, path: str) -> None:
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
