@@ -12,6 +12,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -19,13 +20,17 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+#: A quote opens only at the start of a value; a quote without an end is an ordinary letter.
+TOKEN = re.compile(COMMENT + r"""|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*+"[^"]*"|=\s*+'[^']*'|[^>])*+)>|<[!?][^>]*>""", re.S)
+#: The same without quotes, for the rest of a page where they hide every end of a tag.
+UNQUOTED = re.compile(COMMENT + r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose inside is text and not tags; an open one runs to the end of the page.
 RAW = frozenset("script style title textarea iframe noscript".split())
 #: Other elements that show no text of the page; an open one ends with the element around it.
-HIDDEN = frozenset("template svg object select canvas".split())
+HIDDEN = frozenset("template svg object select canvas button".split())
 #: What may stand in ``head``; any other tag ends it, and so does text.
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -43,6 +48,29 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+class Tokens:
+    """Tags and comments of a page in order, in time linear in the page."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.pattern = page, page.rfind(">"), TOKEN
+
+    def find(self, at: int) -> re.Match | None:
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if at > self.last:
+                at = page.find("<!--", at)
+                return self.pattern.match(page, at) if at >= 0 else None
+            m = self.pattern.match(page, at)
+            if m is None and self.pattern is TOKEN and page[at + 1 : at + 3].lstrip("/")[:1].isalpha():
+                # the quotes from here on hold all that is left of the page
+                self.pattern = UNQUOTED
+                m = self.pattern.match(page, at)
+            if m:
+                return m
+            at += 1
+        return None
+
+
 def raw_end(page: str, tag: str, at: int) -> int:
     """Where the raw text of an element ends that begins at ``at``."""
     close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -52,8 +80,8 @@ def raw_end(page: str, tag: str, at: int) -> int:
 def left_open(page: str) -> set[int]:
     """Where hidden elements begin that have no closing tag of their own."""
     open_at: dict[str, list[int]] = {}
-    at = 0
-    while m := TOKEN.search(page, at):
+    at, tokens = 0, Tokens(page)
+    while m := tokens.find(at):
         at = m.end()
         tag = (m[2] or "").lower()
         if m[1]:
@@ -68,14 +96,16 @@ def left_open(page: str) -> set[int]:
 
 
 def leaf_blocks(page: str) -> list[Block]:
-    """Blocks in page order: tags above (as tag and tag.name), text with single spaces, letters inside links.
+    """Blocks in page order: different tags above with their names, the nearest last, text with single spaces, letters inside links.
 
     ``head`` may be left open; the first tag or text that cannot stand in it
     ends it. A hidden element ends with its closing tag or with the element
     around it, and one without a closing tag also where the next block begins.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    # open elements: tag, different labels of the blocks from the top to here, open links and paragraphs
+    stack: list[tuple[str, tuple[str, ...], int, int]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
     place: tuple[str, ...] = ()
@@ -85,13 +115,22 @@ def leaf_blocks(page: str) -> list[Block]:
     veils: list[tuple[int, bool]] = []
     loose: set[int] | None = None
 
+    def push(tag: str, label: str) -> None:
+        _, path, above, paragraphs = stack[-1] if stack else ("", (), 0, 0)
+        if tag not in INLINE and path[-1:] != (label,):
+            path = (*(x for x in path if x != label), label)
+        stack.append((tag, path, above + (tag == "a"), paragraphs + (tag == "p")))
+        opened[tag] += 1
+
     def cut(n: int) -> None:
+        for tag, *_ in stack[n:]:
+            opened[tag] -= 1
         del stack[n:]
         while veils and veils[-1][0] >= n:
             veils.pop()
 
     def path_now() -> tuple[str, ...]:
-        return tuple(label for tag, label in stack if tag not in INLINE)
+        return stack[-1][1] if stack else ()
 
     def flush() -> None:
         nonlocal parts, linked
@@ -101,9 +140,9 @@ def leaf_blocks(page: str) -> list[Block]:
                 out.append(Block(place, text, min(linked, len(text))))
             parts, linked = [], 0
 
-    at, size = 0, len(page)
+    at, size, tokens = 0, len(page), Tokens(page)
     while at < size:
-        m = TOKEN.search(page, at)
+        m = tokens.find(at)
         stop = m.start() if m else size
         if head and page[at:stop].strip():
             head = False
@@ -138,41 +177,40 @@ def leaf_blocks(page: str) -> list[Block]:
             if not veils:
                 parts.append(" ")
             continue
-        if tag not in INLINE:
+        if tag == "button":
+            if not veils:
+                parts.append(" ")
+        elif tag not in INLINE:
             flush()
         if tag in BLOCKS and not m[1]:
             for n, ends in veils:
                 # a block leaves a drawing, but for the parts of it that hold blocks
-                if ends or (stack[n][0] == "svg" and not any(t in ("foreignobject", "desc") for t, _ in stack[n:])):
+                if ends or (stack[n][0] == "svg" and not any(t in ("foreignobject", "desc") for t, *_ in stack[n:])):
                     cut(n)
                     break
         if m[1]:
-            for n in range(len(stack) - 1, -1, -1):
+            for n in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[n][0] == tag:
                     veiled = len(veils)
                     cut(n)
-                    if len(veils) < veiled:
+                    if len(veils) < veiled and tag != "button":
                         flush()
-                        links = sum(t == "a" for t, _ in stack)
                     break
         elif tag in HIDDEN:
             if not m[3].rstrip().endswith("/"):
                 loose = left_open(page) if loose is None else loose
                 veils.append((len(stack), m.start() in loose))
-                stack.append((tag, tag))
+                push(tag, tag)
         elif tag not in VOID and not m[3].endswith("/"):
             if tag not in INLINE:
                 # a paragraph or list item left open ends where the next block begins
                 while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or (stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option"))):
-                    if stack[-1][0] in INLINE and not any(t == "p" for t, _ in stack):
+                    if stack[-1][0] in INLINE and not stack[-1][3]:
                         break
-                    stack.pop()
+                    cut(len(stack) - 1)
             named = [re.sub(r"\d+", "0", w) for x in NAMES.finditer(m[3]) for w in re.findall(r"[a-z]+|\d+", (x[1] or x[2] or x[3] or "").lower())]
-            stack.append((tag, " ".join([tag, *named])))
-        if tag == "a":
-            links = sum(t == "a" for t, _ in stack)
-        elif tag not in INLINE:
-            links = sum(t == "a" for t, _ in stack)
+            push(tag, " ".join([tag, *named]))
+        links = stack[-1][2] if stack else 0
     flush()
     return out
 
