@@ -371,7 +371,7 @@ def _classes(docs: DataFrame, width: int, percent: int, chunk_bytes: int, star_r
     return _documents(rows, linked_sets(found, percent, star_rounds, few, scratch))
 
 
-def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 12, few: float = 1.0) -> DataFrame:
+def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 6, few: float = 1.0) -> DataFrame:
     """One row per document: doc_id, row, n_shingles, component_id.
 
     A document's set holds the different shingles of ``width`` words of its
@@ -386,7 +386,7 @@ def near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes:
     return out.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 12, few: float = 1.0) -> DataFrame:
+def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_bytes: int = 2 << 20, star_rounds: int = 6, few: float = 1.0) -> DataFrame:
     """``docs`` with one row of each component, all columns kept.
 
     The row with the smallest id stays, null only if there is no other, ties by
