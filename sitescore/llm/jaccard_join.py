@@ -222,26 +222,109 @@ def _need(percent: int):
     return F.greatest(F.lit(1), tighter("a"), tighter("b"))
 
 
-def _all_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of all sets of different components that share as many open cells as both need.
+def _near(one: list[np.ndarray], two: list[np.ndarray] | None, percent: int) -> np.ndarray:
+    """Which sets of ``one`` reach the similarity with which of ``two`` (None: of ``one`` itself).
+
+    Only shingles that can be common to a pair take part, as products of 0/1
+    matrices for 4096 of them at a time.
+    """
+    x = np.concatenate(one)
+    if two is None:
+        values, counts = np.unique(x, return_counts=True)
+        shared = values[counts > 1]
+    else:
+        shared = np.intersect1d(x, np.concatenate(two))
+
+    def placed(sets: list[np.ndarray]):
+        size = np.array([len(t) for t in sets])
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        at = np.searchsorted(shared, tokens)
+        held = np.flatnonzero(at < len(shared))
+        held = held[shared[at[held]] == tokens[held]]
+        held = held[np.argsort(at[held], kind="stable")]
+        return size, at[held], owner[held]
+
+    left = placed(one)
+    right = left if two is None else placed(two)
+    common = np.zeros((len(left[0]), len(right[0])), np.int64)
+    for begin in range(0, len(shared), 4096):
+        width = min(4096, len(shared) - begin)
+
+        def matrix(size, at, owner):
+            lo, hi = np.searchsorted(at, [begin, begin + width])
+            out = np.zeros((len(size), width), np.float32)
+            out[owner[lo:hi], at[lo:hi] - begin] = 1
+            return out
+
+        a = matrix(*left)
+        common += (a @ (a if two is None else matrix(*right)).T).astype(np.int64)
+    return 100 * common >= percent * (left[0][:, None] + right[0][None, :] - common)
+
+
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (row, column) of a 0/1 matrix that join what all its pairs join, at most one for each row and column."""
+    out, seen = [], (np.zeros(near.shape[0], bool), np.zeros(near.shape[1], bool))
+    for start in np.flatnonzero(near.any(axis=1)):
+        if seen[0][start]:
+            continue
+        seen[0][start] = True
+        waiting = [(0, int(start))]
+        while waiting:
+            side, i = waiting.pop()
+            reach = np.flatnonzero((near[:, i] if side else near[i]) & ~seen[1 - side])
+            seen[1 - side][reach] = True
+            waiting.extend((1 - side, int(j)) for j in reach)
+            out.extend((int(j), i) if side else (i, int(j)) for j in reach)
+    return out
+
+
+def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, block: int = 1024, block_tokens: int = 1 << 19) -> DataFrame:
+    """(a, b) links between the components of the open cells, enough of them to join all that links join.
 
     The open cells of a set are put in one order for all sets, those with few
     members first. Two sets with t cells in common share one that is among the
-    first m - t + 1 of the m cells of either, so only those meet in the join;
-    the common cells are then counted on the cells of both.
+    first m - t + 1 of the m cells of either, so only those cells are looked at.
+    The sets of a cell are dealt over blocks of about ``block`` sets or
+    ``block_tokens`` shingles, whichever are more blocks. Each pair of blocks
+    meets in one task, which compares the whole sets there; pairs are never
+    rows. Of the links that a task finds, those of a spanning forest are
+    returned, so the result grows with the sets that meet.
     """
-    own = labelled.groupBy("node", "part").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("cells"), *(F.first(c).alias(c) for c in ("need", "n", "component", "most_apart")))
+    own = labelled.groupBy("node", "part").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("cells"), *(F.first(c).alias(c) for c in ("need", "n", "component")))
     early = F.slice("cells", 1, F.greatest(F.lit(0), F.size("cells") - F.col("need") + 1))
-    rows = own.where(F.size("cells") >= F.col("need")).select("node", "part", "need", "n", "component", F.col("most_apart").alias("most"), F.explode(F.transform(early, lambda c: c["key"])).alias("key"))
-    names = (("node", "{}"), ("n", "n_{}"), ("component", "c_{}"), ("part", "part_{}"), ("need", "need_{}"), ("most", "most_{}"))
-    one, two = (rows.select("key", *(F.col(c).alias(x.format(side)) for c, x in names)) for side in "ab")
-    pairs = one.join(two, "key").where("a < b").where(F.col("c_a") != F.col("c_b")).where(_fits(percent))
-    pairs = pairs.where((F.col("part_a") == SAME) | (F.col("part_a") != F.col("part_b")))
-    pairs = pairs.select("a", "part_a", "b", "part_b", _need(percent).alias("least")).distinct()
-    for side in "ab":
-        cells_of = own.select(F.col("node").alias(side), F.col("part").alias(f"part_{side}"), F.transform("cells", lambda c: c["key"]).alias(f"cells_{side}"))
-        pairs = pairs.join(cells_of, [side, f"part_{side}"])
-    return pairs.where(F.size(F.array_intersect("cells_a", "cells_b")) >= F.col("least")).select("a", "b")
+    rows = own.where(F.size("cells") >= F.col("need")).select("node", "part", "n", "component", F.explode(F.transform(early, lambda c: c["key"])).alias("key"))
+    rows = scratch.keep(rows, "early")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_tokens)).cast("int").alias("blocks")
+    low, high = F.min("part"), F.max("part")
+    spread = (F.max("component") > F.min("component")) & ((high == SAME) | (low < high))
+    cells_open = rows.groupBy("key").agg(blocks, spread.alias("open")).where("open").drop("open")
+    mine = F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int").alias("mine")
+    rows = scratch.keep(rows.join(cells_open, "key").select("key", "node", "n", "component", "blocks", mine), "early")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bins = max(4 * tasks, (rows.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) >> 20)
+    dealt = rows.select("key", "node", "component", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("other")
+    dealt = dealt.join(sets, "node").withColumn("bin", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(bins)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("lo", "ascending"), ("hi", "ascending"), ("node", "ascending")])
+        key, lo, hi, mine, node, component = (table[c].to_numpy() for c in ("key", "lo", "hi", "mine", "node", "component"))
+        tokens = [np.frombuffer(t.as_buffer(), U64) for c in table["tokens"].chunks for t in c]
+        fresh = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+        links = set()
+        for s, e in zip([0, *fresh.tolist()], [*fresh.tolist(), len(key)]):
+            alone = lo[s] == hi[s]
+            one = np.arange(s, e) if alone else s + np.flatnonzero(mine[s:e] == lo[s])
+            two = one if alone else s + np.flatnonzero(mine[s:e] == hi[s])
+            if not len(one) or not len(two) or component[s:e].min() == component[s:e].max():
+                continue
+            near = _near([tokens[i] for i in one], None if alone else [tokens[i] for i in two], percent)
+            near &= component[one][:, None] != component[two][None, :]
+            links.update((int(min(node[one[i]], node[two[j]])), int(max(node[one[i]], node[two[j]]))) for i, j in _forest(near))
+        links = sorted(links)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return dealt.groupBy("bin").applyInArrow(compare, "a long, b long").distinct()
 
 
 def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, scratch: Scratch) -> DataFrame:
@@ -253,8 +336,8 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
     each cell is drawn, and every set is compared with that drawn one with which
     it shares most cells, unless links join the two already. Cells whose sets
     are all joined are done. When the cells left hold at most ``few`` pairs for
-    each of their members, or after ``star_rounds`` rounds, all pairs left are
-    compared, so no link between components is missed. The table ``found`` is
+    each of their members, or after ``star_rounds`` rounds, the sets left meet
+    block by block, so no link between components is missed. The table ``found`` is
     removed from ``scratch`` (as "sketch") once its cells and sets are written.
     """
     spark = found.sparkSession
@@ -279,28 +362,25 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
             scratch.drop("sketch")
         last = rest <= few * members or turn >= star_rounds
         if last:
-            pairs = _all_pairs(labelled, percent)
-        else:
-            two = labelled.select("key", "part", F.col("need").alias("need_b"), F.col("most_apart").alias("most_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a", "part_a", "need_a", "most_a")
-            pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).where((F.col("part") == SAME) | (F.col("part") != F.col("part_a")))
-            pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(_need(percent)).alias("least")).where("shared >= least")
+            fresh = scratch.keep(_joining_links(labelled, sets, percent, scratch), "fresh")
+            if not fresh.isEmpty():
+                comps = components(scratch.keep(links.unionAll(fresh), "links"))
+            break
+        two = labelled.select("key", "part", F.col("need").alias("need_b"), F.col("most_apart").alias("most_b"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "a", "n_a", "c_a", "part_a", "need_a", "most_a")
+        pairs = two.where(F.col("c_a") != F.col("c_b")).where(_fits(percent)).where((F.col("part") == SAME) | (F.col("part") != F.col("part_a")))
+        pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(_need(percent)).alias("least")).where("shared >= least")
         seen = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        if not last:
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("s")).select("s.a", "b")
-        pairs = scratch.keep(pairs.select("a", "b"), "pairs")
+        pairs = pairs.join(seen, ["a", "b"], "left_anti").groupBy("b").agg(F.max(F.struct("shared", "a")).alias("s")).select("s.a", "b")
+        pairs = scratch.keep(pairs, "pairs")
         if not pairs.isEmpty():
             fresh = scratch.keep(_verified(pairs, sets, percent), "fresh")
             if not fresh.isEmpty():
                 links = scratch.keep(links.unionAll(fresh), "links")
                 comps = components(links)
-            if not last:
-                tested = scratch.keep(tested.unionAll(pairs), "tested")
-        if last:
-            break
+            tested = scratch.keep(tested.unionAll(pairs), "tested")
         labelled = labelled.select("key", "part", "need", "most_apart", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
-    scratch.drop("open", "sets", "pairs", "fresh", "links", "tested", "sketch")
+    scratch.drop("open", "early", "sets", "pairs", "fresh", "links", "tested", "sketch")
     return comps
 
 

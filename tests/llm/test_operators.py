@@ -13,8 +13,8 @@ from sitescore.llm import automata, html_text, secret_scan, warc
 from sitescore.llm.components import components
 from sitescore.llm.decontamination import Search, find_benchmark
 from sitescore.llm.exact_dedup import drop_copies, exact_dedup
-from sitescore.llm.jaccard_join import bands, cells, drop_near_copies, near_copies, near_links
-from sitescore.llm.kit import ship
+from sitescore.llm.jaccard_join import _forest, _joining_links, bands, cells, drop_near_copies, near_copies, near_links
+from sitescore.llm.kit import Scratch, ship
 from sitescore.llm.language_id import held_out, identify
 from sitescore.llm.mixing import mix_sources, targets
 from sitescore.llm.substring_dedup import remove_repeats
@@ -190,6 +190,42 @@ def test_jaccard_small_sets(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == ref.near(rows, 2, 60)
 
 
+def joined(links, nodes):
+    """Smallest node reached by links, for each node."""
+    least = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("block, block_tokens", [(1024, 1 << 19), (7, 1 << 19), (1024, 300)])
+def test_joining_links(spark, block, block_tokens):
+    """One cell whose sets meet in blocks: its links join what all links join, and none is false."""
+    rng = np.random.default_rng(6)
+    base = [np.unique(rng.integers(0, 1 << 62, 60, dtype=np.uint64)) for _ in range(4)]
+    sets = {n: np.unique(np.concatenate((base[n % 4][: 60 - n // 4], rng.integers(0, 1 << 62, n // 4, dtype=np.uint64)))) for n in range(40)}
+    component = {n: 5 if n in (5, 9, 13) else n for n in sets}
+    cells_of = [(1, 0, 1, n, len(t), component[n], len(sets)) for n, t in sets.items()]
+    labelled = spark.createDataFrame(cells_of, "key long, part int, need int, node long, n long, component long, held long")
+    tokens = spark.createDataFrame([(n, bytearray(t.tobytes())) for n, t in sets.items()], "node long, tokens binary")
+    got = [(r.a, r.b) for r in _joining_links(labelled, tokens, 80, Scratch(spark), block, block_tokens).collect()]
+    share = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * share(a, b) >= 80 * (len(sets[a]) + len(sets[b]) - share(a, b))]
+    inside = [(5, 9), (9, 13)]
+    assert set(got) <= set(links) and joined(got + inside, sets) == joined(links + inside, sets)
+    assert len(set(joined(links, sets).values())) > 4 and len(links) > len(sets)
+
+
+def test_forest():
+    rng = np.random.default_rng(3)
+    for trial in range(50):
+        near = rng.random((rng.integers(1, 12), rng.integers(1, 12))) < rng.random() / 2
+        names = [*(("r", i) for i in range(near.shape[0])), *(("c", j) for j in range(near.shape[1]))]
+        every, some = ([(("r", int(i)), ("c", int(j))) for i, j in found] for found in (np.argwhere(near), _forest(near)))
+        assert set(some) <= set(every) and len(some) < len(names) and joined(some, names) == joined(every, names)
+
+
 def test_bands_hold_every_link():
     low = bands(3000, 85)
     band = np.searchsorted(low, np.arange(3001), "right") - 1
