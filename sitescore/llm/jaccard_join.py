@@ -222,10 +222,10 @@ def _need(percent: int):
     return F.greatest(F.lit(1), tighter("a"), tighter("b"))
 
 
-def _near(one: list[np.ndarray], two: list[np.ndarray] | None, percent: int) -> np.ndarray:
-    """Which sets of ``one`` reach the similarity with which of ``two`` (None: of ``one`` itself).
+def _common(one: list[np.ndarray], two: list[np.ndarray] | None) -> np.ndarray:
+    """How many values each set of ``one`` shares with each of ``two`` (None: with each of ``one`` itself).
 
-    Only shingles that can be common to a pair take part, as products of 0/1
+    Only values that can be common to a pair take part, as products of 0/1
     matrices for 4096 of them at a time.
     """
     x = np.concatenate(one)
@@ -236,29 +236,28 @@ def _near(one: list[np.ndarray], two: list[np.ndarray] | None, percent: int) ->
         shared = np.intersect1d(x, np.concatenate(two))
 
     def placed(sets: list[np.ndarray]):
-        size = np.array([len(t) for t in sets])
-        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(t) for t in sets])
         at = np.searchsorted(shared, tokens)
         held = np.flatnonzero(at < len(shared))
         held = held[shared[at[held]] == tokens[held]]
         held = held[np.argsort(at[held], kind="stable")]
-        return size, at[held], owner[held]
+        return len(sets), at[held], owner[held]
 
     left = placed(one)
     right = left if two is None else placed(two)
-    common = np.zeros((len(left[0]), len(right[0])), np.int64)
+    common = np.zeros((left[0], right[0]), np.int64)
     for begin in range(0, len(shared), 4096):
         width = min(4096, len(shared) - begin)
 
-        def matrix(size, at, owner):
+        def matrix(rows, at, owner):
             lo, hi = np.searchsorted(at, [begin, begin + width])
-            out = np.zeros((len(size), width), np.float32)
+            out = np.zeros((rows, width), np.float32)
             out[owner[lo:hi], at[lo:hi] - begin] = 1
             return out
 
         a = matrix(*left)
         common += (a @ (a if two is None else matrix(*right)).T).astype(np.int64)
-    return 100 * common >= percent * (left[0][:, None] + right[0][None, :] - common)
+    return common
 
 
 def _forest(near: np.ndarray) -> list[tuple[int, int]]:
@@ -278,38 +277,37 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, block: int = 1024, block_tokens: int = 1 << 19) -> DataFrame:
-    """(a, b) links between the components of the open cells, enough of them to join all that links join.
+def _joined_in_blocks(rows: DataFrame, content: DataFrame, on: list[str], accept, block: int, block_values: int) -> DataFrame:
+    """(a, b) pairs of nodes that join all that the accepted pairs inside each ``key`` join.
 
-    The open cells of a set are put in one order for all sets, those with few
-    members first. Two sets with t cells in common share one that is among the
-    first m - t + 1 of the m cells of either, so only those cells are looked at.
-    The sets of a cell are dealt over blocks of about ``block`` sets or
-    ``block_tokens`` shingles, whichever are more blocks. Each pair of blocks
-    meets in one task, which compares the whole sets there; pairs are never
-    rows. Of the links that a task finds, those of a spanning forest are
-    returned, so the result grows with the sets that meet.
+    ``rows`` has key, the columns ``on``, component and size. The rows of a key
+    are dealt over blocks of about ``block`` rows or ``block_values`` values,
+    whichever are more blocks. Each pair of blocks meets in one task with the
+    ``content`` of its rows, so pairs are never rows. ``accept`` takes the table
+    of a task, the sets of values there and the places of both blocks, the
+    second None if they are one, and gives a 0/1 matrix; pairs inside a
+    component do not count. A task returns the pairs of a spanning forest, so
+    the result grows with the rows that meet.
     """
-    own = labelled.groupBy("node", "part").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("cells"), *(F.first(c).alias(c) for c in ("need", "n", "component")))
-    early = F.slice("cells", 1, F.greatest(F.lit(0), F.size("cells") - F.col("need") + 1))
-    rows = own.where(F.size("cells") >= F.col("need")).select("node", "part", "n", "component", F.explode(F.transform(early, lambda c: c["key"])).alias("key"))
-    rows = scratch.keep(rows, "early")
-    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("n") / block_tokens)).cast("int").alias("blocks")
-    low, high = F.min("part"), F.max("part")
-    spread = (F.max("component") > F.min("component")) & ((high == SAME) | (low < high))
-    cells_open = rows.groupBy("key").agg(blocks, spread.alias("open")).where("open").drop("open")
-    mine = F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int").alias("mine")
-    rows = scratch.keep(rows.join(cells_open, "key").select("key", "node", "n", "component", "blocks", mine), "early")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_values)).cast("int").alias("blocks")
+    keys = rows.groupBy("key").agg(blocks, (F.max("component") > F.min("component")).alias("open")).where("open").drop("open")
+    rows = rows.join(keys, "key").withColumn("mine", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int"))
+    rows = kept(rows, "dealt")
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bins = max(4 * tasks, (rows.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) >> 20)
-    dealt = rows.select("key", "node", "component", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    bins = max(4 * tasks, (rows.agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0) >> 20)
+    dealt = rows.select("key", *on, "component", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")}).drop("other")
-    dealt = dealt.join(sets, "node").withColumn("bin", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(bins)))
+    dealt = dealt.join(content, on).withColumn("bin", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(bins)))
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("lo", "ascending"), ("hi", "ascending"), ("node", "ascending")])
         key, lo, hi, mine, node, component = (table[c].to_numpy() for c in ("key", "lo", "hi", "mine", "node", "component"))
-        tokens = [np.frombuffer(t.as_buffer(), U64) for c in table["tokens"].chunks for t in c]
+        held = table["held"]
+        if pa.types.is_binary(held.type):
+            sets = [np.frombuffer(t.as_buffer(), U64) for c in held.chunks for t in c]
+        else:
+            sets = [t.values.to_numpy() for c in held.chunks for t in c]
+        columns = {c: table[c].to_numpy() for c in table.column_names if c != "held"}
         fresh = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
         links = set()
         for s, e in zip([0, *fresh.tolist()], [*fresh.tolist(), len(key)]):
@@ -318,7 +316,8 @@ def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch:
             two = one if alone else s + np.flatnonzero(mine[s:e] == hi[s])
             if not len(one) or not len(two) or component[s:e].min() == component[s:e].max():
                 continue
-            near = _near([tokens[i] for i in one], None if alone else [tokens[i] for i in two], percent)
+            common = _common([sets[i] for i in one], None if alone else [sets[i] for i in two])
+            near = accept({c: v[one][:, None] for c, v in columns.items()}, {c: v[two][None, :] for c, v in columns.items()}, common)
             near &= component[one][:, None] != component[two][None, :]
             links.update((int(min(node[one[i]], node[two[j]])), int(max(node[one[i]], node[two[j]]))) for i, j in _forest(near))
         links = sorted(links)
@@ -327,6 +326,42 @@ def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch:
     return dealt.groupBy("bin").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, block: int = 1024, block_values: int = 1 << 19) -> DataFrame:
+    """(a, b) links between the components of the open cells, enough of them to join all that links join.
+
+    The open cells of a set are put in one order for all sets, those with few
+    members first. Two sets with t cells in common share one that is among the
+    first m - t + 1 of the m cells of either, so only in those cells do sets
+    meet. There they bring the names of all their cells (32 bits of each; where
+    two of a set coincide, its need is lowered) and are candidates if as many
+    agree as both need. What candidates join is a cluster, and the whole sets
+    of a cluster meet and are compared.
+    """
+    own = labelled.groupBy("node", "part").agg(F.sort_array(F.collect_set(F.struct("held", "key"))).alias("cells"), *(F.first(c).alias(c) for c in ("need", "n", "component", "most_apart")))
+    own = own.where(F.size("cells") >= F.col("need"))
+    own = scratch.keep(own.withColumn("held", F.array_distinct(F.transform("cells", lambda c: F.shiftright(c["key"], 32).cast("int")))), "cells")
+    early = F.slice("cells", 1, F.greatest(F.lit(0), F.size("cells") - F.col("need") + 1))
+    rows = own.select(F.explode(F.transform(early, lambda c: c["key"])).alias("key"), "node", "part", "component", F.size("held").alias("size"))
+    need = (F.col("need") - F.size("cells") + F.size("held")).alias("need")
+
+    def candidate(a, b, common):
+        difference = (100 - percent) * (a["n"] + b["n"]) // (100 + percent)
+        tighter = lambda x: np.where(x["most_apart"] < 0, x["need"], x["need"] + x["most_apart"] - difference)
+        fits = np.minimum(a["n"], b["n"]) * 100 >= np.maximum(a["n"], b["n"]) * percent
+        kinds = (a["part"] == SAME) | (a["part"] != b["part"])
+        return (common >= np.maximum(1, np.maximum(tighter(a), tighter(b)))) & fits & kinds
+
+    def linked(a, b, common):
+        return 100 * common >= percent * (a["n"] + b["n"] - common)
+
+    met = _joined_in_blocks(rows, own.select("node", "part", "n", "most_apart", need, "held"), ["node", "part"], candidate, block, block_values)
+    clusters = components(scratch.keep(met, "met")).withColumnRenamed("component", "key")
+    rows = clusters.join(own.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("size")), "node")
+    rows = scratch.keep(rows, "clusters")
+    content = sets.select("node", F.col("tokens").alias("held")).join(rows.select("node", F.col("size").alias("n")), "node")
+    return _joined_in_blocks(rows, content, ["node"], linked, block, block_values)
+
+
 def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, scratch: Scratch) -> DataFrame:
     """(node, component) of the sets that link with another one.
 
@@ -380,7 +415,7 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
             tested = scratch.keep(tested.unionAll(pairs), "tested")
         labelled = labelled.select("key", "part", "need", "most_apart", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
-    scratch.drop("open", "early", "sets", "pairs", "fresh", "links", "tested", "sketch")
+    scratch.drop("open", "cells", "met", "clusters", "sets", "pairs", "fresh", "links", "tested", "sketch")
     return comps
 
 

@@ -199,17 +199,17 @@ def joined(links, nodes):
     return least
 
 
-@pytest.mark.parametrize("block, block_tokens", [(1024, 1 << 19), (7, 1 << 19), (1024, 300)])
-def test_joining_links(spark, block, block_tokens):
+@pytest.mark.parametrize("block, block_values", [(1024, 1 << 19), (7, 1 << 19), (1024, 300)])
+def test_joining_links(spark, block, block_values):
     """One cell whose sets meet in blocks: its links join what all links join, and none is false."""
     rng = np.random.default_rng(6)
     base = [np.unique(rng.integers(0, 1 << 62, 60, dtype=np.uint64)) for _ in range(4)]
     sets = {n: np.unique(np.concatenate((base[n % 4][: 60 - n // 4], rng.integers(0, 1 << 62, n // 4, dtype=np.uint64)))) for n in range(40)}
     component = {n: 5 if n in (5, 9, 13) else n for n in sets}
-    cells_of = [(1, 0, 1, n, len(t), component[n], len(sets)) for n, t in sets.items()]
-    labelled = spark.createDataFrame(cells_of, "key long, part int, need int, node long, n long, component long, held long")
+    cells_of = [(1, 0, 1, -1, n, len(t), component[n], len(sets)) for n, t in sets.items()]
+    labelled = spark.createDataFrame(cells_of, "key long, part int, need int, most_apart int, node long, n long, component long, held long")
     tokens = spark.createDataFrame([(n, bytearray(t.tobytes())) for n, t in sets.items()], "node long, tokens binary")
-    got = [(r.a, r.b) for r in _joining_links(labelled, tokens, 80, Scratch(spark), block, block_tokens).collect()]
+    got = [(r.a, r.b) for r in _joining_links(labelled, tokens, 80, Scratch(spark), block, block_values).collect()]
     share = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
     links = [(a, b) for a in sets for b in sets if a < b and 100 * share(a, b) >= 80 * (len(sets[a]) + len(sets[b]) - share(a, b))]
     inside = [(5, 9), (9, 13)]
