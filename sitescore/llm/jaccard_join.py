@@ -72,11 +72,10 @@ def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarr
     agree and the most shingles in which a linked pair differs; the latter is
     -1 for a set whose single cell in common need not grow for smaller partners.
 
-    Cells with fewer than two shingles tell little and are left out: the slack
-    covers them, since more cells agree than a set has of such. A set with more
-    of them than the slack sends all its cells that are not empty and, if the
-    empty ones alone exceed the slack, also its d + 1 first shingles, of which
-    two sets in reach share one.
+    Every cell that holds a shingle is sent. At least e + 1 cells of a linked
+    pair agree, of which no more can be empty than either set has empty ones, so
+    e + 1 less those must be found. A set with more empty cells than the slack
+    also sends its d + 1 first shingles, of which two sets in reach share one.
     """
     d, e, count = cells(low, band, cross, percent)
     use = d > 0
@@ -90,21 +89,16 @@ def _emit(tokens: np.ndarray, first: np.ndarray, band: np.ndarray, low: np.ndarr
     fresh = np.ones(len(mine), bool)
     fresh[1:] = (owner[1:] != owner[:-1]) | (cell[1:] != cell[:-1])
     begin = np.flatnonzero(fresh)
-    held = np.diff(np.append(begin, len(mine)))
     whose = owner[begin]
     kind = mix((band[whose] * 2 + cross).astype(U64) * MIX1 + cell[begin])
     keys = mix(np.bitwise_xor.reduceat(mix(mine ^ ROLL), begin) ^ kind)
     empty = count - np.bincount(whose, minlength=len(size))
-    light = empty + np.bincount(whose[held == 1], minlength=len(size))
-    weak = use & (light > e)
-    send = (held > 1) | weak[whose]
-    whose, keys = whose[send], keys[send]
-    scarce = weak & (empty > e)
+    scarce = use & (empty > e)
     if scarce.any():
         early = scarce[owner] & (inside <= d[owner])
         whose = np.concatenate((whose, owner[early]))
         keys = np.concatenate((keys, mix(mine[early] ^ mix((band[owner[early]] * 2 + cross).astype(U64) * MIX2))))
-    return whose, keys, np.where(weak, 1, e + 1 - light), np.where(weak, -1, d)
+    return whose, keys, np.where(scarce, 1, e + 1 - empty), np.where(scarce, -1, d)
 
 
 def sketch(docs: DataFrame, width: int, percent: int, chunk_bytes: int) -> DataFrame:
@@ -215,7 +209,7 @@ def _need(percent: int):
 
     A set's need follows from the largest sizes of its band. A pair of smaller
     sets differs in fewer shingles, and in that many fewer cells. Sets that need
-    only one cell (those with many light cells) stay at one.
+    only one cell (those with many empty cells) stay at one.
     """
     difference = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
     tighter = lambda side: F.when(F.col(f"most_{side}") < 0, F.col(f"need_{side}")).otherwise(F.col(f"need_{side}") + F.col(f"most_{side}") - difference)
@@ -277,7 +271,7 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _joined_in_blocks(rows: DataFrame, content: DataFrame, on: list[str], accept, block: int, block_values: int) -> DataFrame:
+def _joined_in_blocks(rows: DataFrame, content: DataFrame, on: list[str], accept, block: int, block_values: int, scratch: Scratch) -> DataFrame:
     """(a, b) pairs of nodes that join all that the accepted pairs inside each ``key`` join.
 
     ``rows`` has key, the columns ``on``, component and size. The rows of a key
@@ -292,7 +286,7 @@ def _joined_in_blocks(rows: DataFrame, content: DataFrame, on: list[str], accept
     blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_values)).cast("int").alias("blocks")
     keys = rows.groupBy("key").agg(blocks, (F.max("component") > F.min("component")).alias("open")).where("open").drop("open")
     rows = rows.join(keys, "key").withColumn("mine", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int"))
-    rows = kept(rows, "dealt")
+    rows = scratch.keep(rows, "dealt")
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bins = max(4 * tasks, (rows.agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0) >> 20)
     dealt = rows.select("key", *on, "component", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -354,12 +348,12 @@ def _joining_links(labelled: DataFrame, sets: DataFrame, percent: int, scratch:
     def linked(a, b, common):
         return 100 * common >= percent * (a["n"] + b["n"] - common)
 
-    met = _joined_in_blocks(rows, own.select("node", "part", "n", "most_apart", need, "held"), ["node", "part"], candidate, block, block_values)
+    met = _joined_in_blocks(rows, own.select("node", "part", "n", "most_apart", need, "held"), ["node", "part"], candidate, block, block_values, scratch)
     clusters = components(scratch.keep(met, "met")).withColumnRenamed("component", "key")
     rows = clusters.join(own.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("size")), "node")
     rows = scratch.keep(rows, "clusters")
     content = sets.select("node", F.col("tokens").alias("held")).join(rows.select("node", F.col("size").alias("n")), "node")
-    return _joined_in_blocks(rows, content, ["node"], linked, block, block_values)
+    return _joined_in_blocks(rows, content, ["node"], linked, block, block_values, scratch)
 
 
 def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, scratch: Scratch) -> DataFrame:
@@ -415,7 +409,7 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
             tested = scratch.keep(tested.unionAll(pairs), "tested")
         labelled = labelled.select("key", "part", "need", "most_apart", "node", "n").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
         turn += 1
-    scratch.drop("open", "cells", "met", "clusters", "sets", "pairs", "fresh", "links", "tested", "sketch")
+    scratch.drop("open", "cells", "dealt", "met", "clusters", "sets", "pairs", "fresh", "links", "tested", "sketch")
     return comps
 
 
