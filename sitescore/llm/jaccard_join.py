@@ -365,7 +365,8 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
     each cell is drawn, and every set is compared with that drawn one with which
     it shares most cells, unless links join the two already. Cells whose sets
     are all joined are done. When the cells left hold at most ``few`` pairs for
-    each of their members, or after ``star_rounds`` rounds, the sets left meet
+    each of their members, when a round left more than half of the members, or
+    after ``star_rounds`` rounds, the sets left meet
     block by block, so no link between components is missed. The table ``found`` is
     removed from ``scratch`` (as "sketch") once its cells and sets are written.
     """
@@ -373,6 +374,7 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
     labelled = found.where(F.col("kind") == MEMBER).select("key", "part", "need", "most_apart", "node", "n", F.col("node").alias("component"))
     links = tested = spark.createDataFrame([], "a long, b long")
     comps, sets, turn = spark.createDataFrame([], "node long, component long"), None, 0
+    former = None
     while True:
         drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("part").alias("part_a"), F.col("need").alias("need_a"), F.col("most_apart").alias("most_a")))
         low, high, up = F.min("part"), F.max("part"), F.count_if(F.col("part") == UP)
@@ -389,7 +391,8 @@ def linked_sets(found: DataFrame, percent: int, star_rounds: int, few: float, sc
             sets = found.where(F.col("kind") == SET).join(labelled.select("node").distinct(), "node", "left_semi")
             sets = scratch.keep(sets.groupBy("node").agg(F.first("tokens").alias("tokens")), "sets")
             scratch.drop("sketch")
-        last = rest <= few * members or turn >= star_rounds
+        last = rest <= few * members or turn >= star_rounds or (former is not None and 2 * members > former)
+        former = members
         if last:
             fresh = scratch.keep(_joining_links(labelled, sets, percent, scratch), "fresh")
             if not fresh.isEmpty():
