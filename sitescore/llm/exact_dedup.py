@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescore.llm.kit import kept, whole_text
+from sitescore.llm.kit import kept, split_by_keys, whole_text
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -125,7 +125,9 @@ def drop_copies(docs: DataFrame, block: int = 4096) -> DataFrame:
     # rows whose own id is also the one that stays are repeats: one of them is left
     whole = gone.where("not (__id <=> __keep)")
     again = gone.where("__id <=> __keep")
-    rows = docs.withColumn("__row_sha", sha)
+    # a dropped row has an id of these; whole texts of other ids are not shuffled
+    rows, others = split_by_keys(docs, F.col("doc_id").cast("long"), gone.select("__id"))
+    rows = rows.withColumn("__row_sha", sha)
     rows = rows.join(whole, rows["doc_id"].cast("long").eqNullSafe(whole["__id"]) & (rows["__row_sha"] == whole["__sha"]), "left_anti")
     if not again.isEmpty():
         match = rows["doc_id"].cast("long").eqNullSafe(again["__id"]) & (rows["__row_sha"] == again["__sha"])
@@ -135,4 +137,4 @@ def drop_copies(docs: DataFrame, block: int = 4096) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("doc_id", "__row_sha").orderBy(order))
         repeats = rows.join(again, match, "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
         rows = single.unionAll(repeats)
-    return rows.drop("__row_sha")
+    return rows.drop("__row_sha").unionAll(others)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitescore.llm.components import components
-from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Scratch, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, word64
+from sitescore.llm.kit import MIX1, MIX2, ROLL, U64, Scratch, Words, chunked, copied_texts, exchange_keys, first_places, kept, mix, read_chunk, rolled, row_key, split_by_keys, word64
 
 FOUND = "kind int, doc_id long, row long, n long, node long, key long, part int, need int, most_apart int, tokens binary"
 #: A set sends the cells it compares with its own band, with the next larger one and with the next smaller one.
@@ -510,13 +510,15 @@ def drop_near_copies(docs: DataFrame, width: int = 4, percent: int = 85, chunk_b
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     best = rows.groupBy("component").agg(F.min(order).alias("best")).select("component", F.col("best.row").alias("best"))
     gone = kept(rows.join(best, "component").where("row <> best").select(F.col("row").alias("__row")), "gone")
-    left = docs.join(gone, row_key() == F.col("__row"), "left_anti")
     again = kept(rows.where("held > 1").join(best, "component").where("row = best").select(F.col("row").alias("__row")), "again")
+    # whole texts of rows that surely stay are not shuffled
+    some, others = split_by_keys(docs, row_key(), gone.unionAll(again))
+    left = some.join(gone, row_key() == F.col("__row"), "left_anti")
     if again.isEmpty():
-        return left
+        return left.unionAll(others)
     content = F.xxhash64(F.to_json(F.struct(*docs.columns)))
     place = F.row_number().over(Window.partitionBy("__key").orderBy(content))
     keyed = left.withColumn("__key", row_key())
     single = keyed.join(again, F.col("__key") == F.col("__row"), "left_anti")
     repeats = keyed.join(again, F.col("__key") == F.col("__row"), "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
-    return single.unionAll(repeats).drop("__key")
+    return single.unionAll(repeats).drop("__key").unionAll(others)
