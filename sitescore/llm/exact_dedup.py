@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitescore.llm.kit import kept, split_by_keys, whole_text
+from sitescore.llm.kit import Scratch, kept, split_by_keys, whole_text
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,7 +80,8 @@ def identities(docs: DataFrame, block: int = 4096) -> DataFrame:
     rows = rows.select("doc_id", F.xxhash64("t").alias("tag"), F.sha2("t", 256).alias("sha"), cut.alias("cut"))
     rows = rows.select("doc_id", "tag", "sha", F.size("cut").alias("blocks"), F.posexplode("cut").alias("pos", "block"))
     rows = rows.select("doc_id", "tag", "blocks", "pos", F.when(F.col("pos") == 0, F.col("sha")).alias("sha"), F.lit(1).cast("long").alias("copies"), "block")
-    level, rows, done = 0, kept(named(rows, ["block"]), "names"), []
+    # the shuffled blocks hold all texts and go once they are named
+    level, rows, done = 0, Scratch(docs.sparkSession).keep(named(rows, ["block"]), "names"), []
     while True:
         done.append(rows.where("blocks = 1").select("doc_id", F.col("sha").alias("text_sha256"), F.lit(level).alias("level"), "name", "copies"))
         rows = rows.where("blocks > 1")

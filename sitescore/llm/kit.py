@@ -53,8 +53,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Whether Spark removes the shuffle files of a query as soon as it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_clean(df: DataFrame, path: str) -> None:
+    """Write ``df`` and leave none of its shuffle files, which otherwise wait for the driver to collect garbage."""
+    conf = df.sparkSession.conf
+    former = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, former)
+
+
 class Scratch:
-    """Written tables that live as long as they are needed.
+    """Written tables that live as long as they are needed, and leave no shuffle files.
 
     A name holds one table. Keeping another one under it removes the former once
     the new one is written, so a table may be made from the one it replaces.
@@ -66,7 +81,7 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path, former = scratch_path(self.spark, name), self.paths.get(name)
-        df.write.parquet(path)
+        write_clean(df, path)
         self.paths[name] = path
         if former:
             self._remove(former)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from sitescore.llm import kit
 from sitescore.llm.exact_dedup import drop_copies
 from sitescore.llm.jaccard_join import drop_near_copies
 from sitescore.llm.kit import ship, split_by_keys
@@ -66,3 +69,23 @@ def test_split_by_no_keys(spark):
     rows = spark.range(5).toDF("key")
     some, others = split_by_keys(rows, F.col("key"), rows.limit(0))
     assert some.count() == 0 and others.count() == 5
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Shuffle files of a table go when it is written; the session's setting is as before."""
+    folders = []
+    monkeypatch.setattr(kit, "scratch_path", lambda session, name: folders.append(name) or str(tmp_path / f"{name}{len(folders)}"))
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> int:
+        return local.getAllFiles().mkString("\n").count(".data")
+
+    former, before = spark.conf.get(kit.CLEANUP), shuffled()
+    made = spark.range(5000).groupBy((F.col("id") % 100).alias("k")).agg(F.count("*").alias("n"))
+    table = kit.Scratch(spark).keep(made, "t")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(kit.CLEANUP) == former
+    assert table.count() == 100 and made.count() == 100
