@@ -52,7 +52,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and go on from there.
 
     The shuffle files that led to the rows go once they are written; they would
-    otherwise wait for the driver to collect garbage.
+    otherwise wait for the driver to collect garbage. Spark keeps the size that it
+    guessed before the rows were made. If the files are larger, the guess is
+    dropped: a table that is taken for a small one is broadcast through the
+    driver's memory, however many rows it has.
     """
     shared_folder(df.sparkSession)
     # a plan of its own, so no other use of ``df`` looks for the files
@@ -62,7 +65,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if cleaner.isDefined():
         for shuffle in _shuffles(once._jdf.queryExecution().executedPlan()):
             cleaner.get().doCleanupShuffle(shuffle, False)
-    return written
+    return _without_guess(written)
+
+
+def _without_guess(written: DataFrame) -> DataFrame:
+    """The written table, of unknown size if Spark takes it for smaller than its files are.
+
+    Files of a small share of what may be broadcast are left alone: rows take several
+    times as much as their files, which are compressed.
+    """
+    spark, plan = written.sparkSession, written._jdf.queryExecution().logical()
+    folder = _checkpoint(written)
+    size = _files(spark, folder).getContentSummary(folder).getLength() if folder is not None else 0
+    if size <= max(plan.stats().sizeInBytes(), spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold() // 16):
+        return written
+    jvm = spark._jvm
+    none = jvm.scala.Option.empty()
+    rows = jvm.org.apache.spark.sql.execution.LogicalRDD(
+        plan.output(), plan.rdd(), plan.outputPartitioning(), plan.outputOrdering(), plan.isStreaming(), plan.stream(), spark._jsparkSession, none, none
+    )
+    return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, rows), spark)
+
+
+def _checkpoint(written: DataFrame):
+    """The folder that a table was written to."""
+    file = written._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    return written.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get()) if file.isDefined() else None
+
+
+def _files(spark: SparkSession, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _shuffles(plan) -> set[int]:
@@ -87,11 +119,9 @@ def _shuffles(plan) -> set[int]:
 
 def forget(written: DataFrame) -> None:
     """Remove the files of a table that :func:`cut_lineage` wrote; nothing may read it any more."""
-    file = written._jdf.queryExecution().logical().rdd().getCheckpointFile()
-    if file.isDefined():
-        context = written.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(file.get())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    folder = _checkpoint(written)
+    if folder is not None:
+        _files(written.sparkSession, folder).delete(folder, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
